@@ -21,6 +21,7 @@ _FOLDED = _VALUES.copy()
 _FOLDED[65:91] = _VALUES[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
+_SPACE_BYTES = tuple(SPACES[k : k + 1] for k in range(len(SPACES)))
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -44,7 +45,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _hashed(segment: bytes, values: np.ndarray) -> np.ndarray:
+def _hashed(segment: bytes, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(segment, np.uint8)
     space = np.empty(codes.size + 2, bool)
     space[0] = space[-1] = True
@@ -55,25 +56,58 @@ def _hashed(segment: bytes, values: np.ndarray) -> np.ndarray:
     sums = np.empty(codes.size + 1, _U)
     sums[0] = 0
     np.cumsum(values[codes] * up[: codes.size], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+    return mixed((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
-def word_hashes(text: bytes, fold: bool = False) -> np.ndarray:
-    """The hashes of the words in order; with `fold`, A-Z count as a-z."""
+def hashed_words(text: bytes, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of each word in order; with `fold`, A-Z count as a-z."""
     values = _FOLDED if fold else _VALUES
-    if len(text) <= SEGMENT:
-        return _hashed(text, values) if text else np.empty(0, _U)
     parts, at = [], 0
     while at < len(text):
         end = at + SEGMENT
         if end < len(text):
-            cut = max(text.rfind(c, at, end) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
+            cut = max(text.rfind(c, at, end) for c in _SPACE_BYTES)
             if cut < at:  # one long word
-                cut = min((k for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r") if (k := text.find(c, end)) >= 0), default=len(text) - 1)
+                cut = min((k for c in _SPACE_BYTES if (k := text.find(c, end)) >= 0), default=len(text) - 1)
             end = cut + 1
-        parts.append(_hashed(text[at:end], values))
+        hashes, starts, ends = _hashed(text[at:end], values)
+        parts.append((hashes, starts + at, ends + at))
         at = end
-    return np.concatenate(parts)
+    if not parts:
+        return np.empty(0, _U), np.empty(0, np.int64), np.empty(0, np.int64)
+    return parts[0] if len(parts) == 1 else tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def word_hashes(text: bytes, fold: bool = False) -> np.ndarray:
+    return hashed_words(text, fold)[0]
+
+
+class Piece:
+    """Some whole texts as one buffer: `hashes`, `starts`, `ends` and `doc` of all their words."""
+
+    def __init__(self, texts: list[bytes], fold: bool = False) -> None:
+        self.n = len(texts)
+        self.buffer = b"\n".join(texts)
+        self.doc_start = np.zeros(self.n + 1, np.int64)
+        np.cumsum([len(x) + 1 for x in texts], out=self.doc_start[1:])
+        self.hashes, self.starts, self.ends = hashed_words(self.buffer, fold)
+        self.doc = np.searchsorted(self.doc_start, self.starts, "right") - 1
+        self.words = np.bincount(self.doc, minlength=self.n)
+        #: where each text's words begin
+        self.first = np.concatenate(([0], np.cumsum(self.words)))
+
+    def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of each run of n words within one text, and the place of its first word."""
+        runs = shingle_hashes(self.hashes, n)
+        inside = np.flatnonzero(self.doc[: runs.size] == self.doc[n - 1 :]) if runs.size else np.empty(0, np.int64)
+        return runs[inside], inside
+
+    def per_text(self, of_byte: np.ndarray) -> np.ndarray:
+        """The sum of `of_byte[b]` over the bytes b of each text."""
+        sums = np.zeros(len(self.buffer) + 2, np.int64)
+        np.cumsum(of_byte[np.frombuffer(self.buffer, np.uint8)], out=sums[1:-1])
+        sums[-1] = sums[-2]
+        return sums[self.doc_start[1:]] - sums[self.doc_start[:-1]]
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
