@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import fertility, mixing, sharding, urltrie
+from samplewright.llm import fertility, mixing, neardup, neighbours, sharding, spm, urltrie
 
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -21,10 +21,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.encode_texts(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def held_out(key: str = "doc_id") -> Column:
+    """Rows whose labels aren't learned from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = neighbours.score_texts(table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge_texts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Near(shingle=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"), SHARDS).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
@@ -39,7 +62,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op5_neighbours": op5_neighbours,
     "op6_fertility": op6_fertility,
+    "op7_neardup": op7_neardup,
     "op8_jump_shards": op8_jump_shards,
     "op9_url_trie": op9_url_trie,
     "op10_mix": op10_mix,
