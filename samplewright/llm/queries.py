@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import fertility, mixing, neardup, neighbours, sharding, spm, urltrie
+from samplewright.llm import fertility, forest, mixing, neardup, neighbours, sharding, spm, urltrie
 
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -25,6 +25,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode_texts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows whose labels aren't learned from."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
@@ -63,6 +68,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_prefix_forest": op3_prefix_forest,
     "op5_neighbours": op5_neighbours,
     "op6_fertility": op6_fertility,
     "op7_neardup": op7_neardup,
