@@ -27,15 +27,17 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Forest:
-    """trees and bits of each string; entries: what the ranges of all trees must hold, over the block's rows.
+    """trees and bits of each string; entries: what each tree's range must hold on average.
 
-    With `entries` e and n rows, each query's ascent ends at the longest length at which
-    its ranges hold e * n entries, repeats between trees counted; there is no upper cap.
+    Each query's ascent ends at the longest common length at which its ranges in all
+    trees hold trees * entries entries, repeats counted; there is no upper cap. One tree
+    at least then holds `entries` different rows, so keep it over k. Rows and queries:
+    those of a block.
     """
 
     trees: int = 96
     bits: int = 32
-    entries: float = 0.5
+    entries: int = 48
     rows: int = 8192
     queries: int = 4096
 
@@ -72,7 +74,7 @@ class PrefixTrees:
     def candidates(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ranges in which the trees' common ascent ends for each query."""
         strings = self._strings(np.column_stack([queries, np.zeros(len(queries))]))
-        enough = min(self.forest.entries, self.forest.trees) * self.n
+        enough = min(self.forest.entries, self.n) * self.forest.trees
         # the longest common length with enough entries: they grow as it shrinks
         reach, beyond = np.zeros(len(queries), np.int64), np.full(len(queries), self.forest.bits + 1)
         while (beyond - reach > 1).any():
