@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from samplewright.llm.shared import written
 
 BITS, LEVEL_BITS = 60, 12
+#: A source's rows meet its budget in so many parts, by the last bits of their hashes, so that one large source is no single task's.
+PARTS = 32
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +57,15 @@ def targets(weighed: DataFrame, most: int = 3) -> DataFrame:
     return solved.withColumn("target", F.least(F.col("_cap").cast("double"), F.col("weight").cast("double") * level)).drop("_cap", "_ratio", "_level")
 
 
+def _spread(per_source: DataFrame) -> DataFrame:
+    """Each source's row once for each part."""
+    return per_source.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+
+
+def _of_source(name: str) -> Column:
+    return F.col("source").eqNullSafe(F.col(name)) & (F.col("rank").bitwiseAND(F.lit(PARTS - 1)) == F.col("_part"))
+
+
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """For each source of `budgets` (source, budget): `cut`; rows of `rows` (source, size, rank) with rank < cut make up the budget.
 
@@ -64,7 +75,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     at = budgets.where("budget > 0").select(F.col("source").alias("_source"), "budget", F.lit(0).cast("long").alias("_prefix"), F.lit(0).cast("long").alias("_before"))
     for shift in range(BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         bucket = F.shiftright("rank", shift)
-        inside = at.join(rows, F.col("_source").eqNullSafe(F.col("source")) & (F.shiftright("rank", shift + LEVEL_BITS) == F.col("_prefix")))
+        inside = _spread(at).join(rows, _of_source("_source") & (F.shiftright("rank", shift + LEVEL_BITS) == F.col("_prefix")))
         counted = inside.groupBy("_source", "budget", "_before", bucket.alias("_bucket")).agg(F.sum("size").alias("_size"))
         # at most 2**12 rows for each source
         running = F.sum("_size").over(Window.partitionBy("_source", "budget").orderBy("_bucket"))
@@ -97,6 +108,6 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     cuts = thresholds(rows, share.select("source", "budget"))
     plan = share.select(F.col("source").alias("_of"), "source_size", "target", "whole").join(cuts, F.col("_of").eqNullSafe(F.col("_source")), "left")
     plan = plan.select("_of", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
-    mixed = rows.join(plan, F.col("source").eqNullSafe(F.col("_of")), "left")
+    mixed = rows.join(_spread(plan), _of_source("_of"), "left")
     times = F.col("whole") + F.when(F.col("rank") < F.col("cut"), 1).otherwise(0)
     return mixed.select(F.col("_key").alias(key), "source", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce(F.col("size") * times, F.lit(0)).alias("taken"), F.coalesce(times, F.lit(0)).alias("times"), "rank")
