@@ -1,8 +1,63 @@
 """The training-data pipeline: five stages, each one of the operators over all that the one before kept."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from samplewright.llm import linededup, mixing, neardup, neighbours, queries, spm
+from samplewright.llm.shared import written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Columns of documents; a stage that changes the text counts its characters again.
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject; every row of them."""
+    scored = neighbours.predict(docs, queries.quality_labels(spark, sf_dir))
+    return scored.where("predicted = 1").select(*COLUMNS)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat earlier runs; one goes if none of its words are left."""
+    rest = linededup.dedup_lines(docs)
+    left = (F.col("n_deleted") == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
+    return rest.where(left).withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    return neardup.drop_near_duplicates(docs).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents as often as its target takes them; a document taken twice is two rows."""
+    return mixing.mixed_documents(docs).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens, round_trip of each row."""
+    return spm.encode_texts(docs, queries.PIECE_MODEL)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("SentencePiece encoding", encode),
+]
+
+#: SQL can express neither the classifier nor the encoder; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each but the last is written to the shared folder and read again."""
+    docs = queries.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -88,7 +88,7 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: DataFrame | None = None, most: int = 3) -> DataFrame:
-    """One row for each document: key, size, source_size, target, taken.
+    """One row for each document: key, source, size, source_size, target, taken, times, rank.
 
     `weights` (source, weight) gives each source's weight; sources that it doesn't name
     weigh nothing; without it the weights 5, 2, 1 repeat over the sources in order. The
@@ -98,16 +98,39 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     0 and take 0; equal rows are taken alike. An empty table gives no rows.
     """
     rows = written(docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_hash(F.col(key), F.col(text)).alias("rank")), "mix-rows")
+    taken = _taken(rows, plan_of(rows, weights, most))
+    return taken.select(F.col("_key").alias(key), "source", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times", "rank")
+
+
+def plan_of(rows: DataFrame, weights: DataFrame | None, most: int) -> DataFrame:
+    """One row for each source of `rows` (source, size, rank): its size and target, whole rounds, and the last round's cut."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     if weights is None:
         weighed = weigh_in_turn(sizes)
     else:
         given = weights.select(F.col("source").alias("_given"), "weight").dropDuplicates(["_given"])
         weighed = sizes.join(given, F.col("source").eqNullSafe(F.col("_given")), "left").drop("_given").where("weight > 0")
-    share = written(targets(weighed, most).withColumn("whole", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
+    whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")
+    share = written(targets(weighed, most).withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
     cuts = thresholds(rows, share.select("source", "budget"))
     plan = share.select(F.col("source").alias("_of"), "source_size", "target", "whole").join(cuts, F.col("_of").eqNullSafe(F.col("_source")), "left")
-    plan = plan.select("_of", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
-    mixed = rows.join(_spread(plan), _of_source("_of"), "left")
+    return plan.select("_of", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
+
+
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """`rows` with their source's plan and `times`."""
     times = F.col("whole") + F.when(F.col("rank") < F.col("cut"), 1).otherwise(0)
-    return mixed.select(F.col("_key").alias(key), "source", "size", F.coalesce("source_size", F.lit(0)).alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce(F.col("size") * times, F.lit(0)).alias("taken"), F.coalesce(times, F.lit(0)).alias("times"), "rank")
+    planned = rows.join(_spread(plan), _of_source("_of"), "left").withColumn("times", F.coalesce(times, F.lit(0)).cast("long"))
+    return planned.withColumn("source_size", F.coalesce("source_size", F.lit(0))).withColumn("target", F.coalesce("target", F.lit(0.0)))
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: DataFrame | None = None, most: int = 3) -> DataFrame:
+    """`docs` as the mix takes them: each row as many times as `mix` says, from none to `most`.
+
+    The thresholds are found on slim rows; then the documents themselves are filtered by
+    the same hash, with no shuffle of their texts where the plan is small.
+    """
+    rows = written(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_hash(F.col(key), F.col(text)).alias("rank")), "mix-rows")
+    plan = written(plan_of(rows, weights, most), "mix-plan")
+    whole = docs.select(F.struct("*").alias("_row"), F.col(source).alias("source"), row_hash(F.col(key), F.col(text)).alias("rank"))
+    return _taken(whole, plan).where("times > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("_row.*")

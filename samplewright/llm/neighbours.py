@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from samplewright.llm.arrow import as_bytes, pieces
 
@@ -173,6 +174,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, space: Space, key: str,
     return features.reshape(len(found), terms + SHAPE_TERMS), np.array(found["label"].to_pylist(), np.float32)
 
 
+def fitted(docs: DataFrame, labels: DataFrame, space: Space, key: str, text: str) -> Model:
+    return Model(*labelled_sample(docs, labels, space, key, text), space)
+
+
 def score_texts(docs: DataFrame, labels: DataFrame, space: Space = Space(), key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
     """One row for each document: key, score, predicted.
 
@@ -181,12 +186,18 @@ def score_texts(docs: DataFrame, labels: DataFrame, space: Space = Space(), key:
     get the share of label 1 in the sample; without any label every score is 1. Texts
     are read whole; other columns aren't read. An empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(Model(*labelled_sample(docs, labels, space, key, text), space))
+    return predict(docs.select(key, text), labels, space, key, text, threshold).drop(text)
+
+
+def predict(docs: DataFrame, labels: DataFrame, space: Space = Space(), key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """`docs` with `score` and `predicted`, as `score_texts` gives them; columns of these names are replaced."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, space, key, text))
+    others = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
-            scores = model.value.scores([x or b"" for x in as_bytes(piece.column("text"))])
-            yield pa.RecordBatch.from_arrays([piece.column("key"), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], names=["key", "score", "predicted"])
+        for piece in pieces(batches, text):
+            scores = model.value.scores([x or b"" for x in as_bytes(piece.column(text))])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))], names=[*piece.schema.names, "score", "predicted"])
 
-    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return slim.mapInArrow(scored, f"key {slim.schema['key'].dataType.simpleString()}, score double, predicted int").withColumnRenamed("key", key)
+    schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in others), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return docs.select(*[F.col(f"`{f.name}`") for f in others]).mapInArrow(scored, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import fertility, forest, mixing, neardup, neighbours, sharding, spm, urltrie
+from samplewright.llm import fertility, forest, licenses, linededup, mixing, neardup, neighbours, sharding, spm, urltrie
 
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode_texts(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
@@ -30,6 +34,10 @@ def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op4_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows whose labels aren't learned from."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
@@ -67,8 +75,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_prefix_forest": op3_prefix_forest,
+    "op4_winnow_lines": op4_winnow_lines,
     "op5_neighbours": op5_neighbours,
     "op6_fertility": op6_fertility,
     "op7_neardup": op7_neardup,
@@ -158,4 +168,32 @@ SELECT r.doc_id, r.size, b.source_size, b.target,
 FROM rows r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source
 LEFT JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source"""
 
-SQL: dict[str, str] = {"op8_jump_shards": _jump_sql(), "op9_url_trie": _URL_SQL, "op10_mix": _MIX_SQL}
+_LINES_SQL = r"""
+WITH parts AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, (pos - 1)::INTEGER AS pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM parts)
+), sums AS (
+  SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS upto, sum(w) OVER (PARTITION BY doc_id)::BIGINT AS total
+  FROM lines WHERE w > 0
+), windows AS (
+  SELECT 1 AS kind, doc_id, pos AS low, max(pos) OVER ahead AS high, list(line) OVER ahead AS content, total - (upto - w) >= 50 AS whole
+  FROM sums WINDOW ahead AS (PARTITION BY doc_id ORDER BY upto - w RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT 2, doc_id, min(pos) OVER behind, pos, list(line) OVER behind, upto >= 50
+  FROM sums WINDOW behind AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), ordered AS (
+  SELECT *, first_value(doc_id) OVER place AS of, first_value(high) OVER place AS of_high, row_number() OVER place AS n
+  FROM windows WHERE whole WINDOW place AS (PARTITION BY kind, content ORDER BY doc_id, low, high)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = of THEN greatest(low, of_high + 1) ELSE low END, high + 1)) AS pos
+  FROM ordered WHERE n > 1
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS text, count(g.pos) AS n
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN coalesce(k.n, 0) = 0 THEN d.text ELSE coalesce(k.text, '') END AS text, coalesce(k.n, 0)::INTEGER AS n_deleted
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
+
+SQL: dict[str, str] = {"op4_winnow_lines": _LINES_SQL, "op8_jump_shards": _jump_sql(), "op9_url_trie": _URL_SQL, "op10_mix": _MIX_SQL}
