@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from samplewright.plans import flows, parameters, reads, reports, sheets, streams
+from samplewright.plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "flows", "parameters", "reads", "reports", "sheets", "streams"]
