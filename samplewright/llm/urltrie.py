@@ -104,7 +104,7 @@ def judge_by_join(df: DataFrame, rules: DataFrame, url: str, key: str, default:
     A url's host suffixes, at most one for each label, meet the rules by equality, and the
     longest fit of each url is kept. Equal rows are judged once and stand for each other.
     """
-    rest = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"(?s)^.*?://([^?#]*)", 1)
+    rest = F.regexp_extract(F.coalesce(F.col("_url"), F.lit("")), r"(?s)^.*?://([^?#]*)", 1)
     parts = df.select(F.col(key), F.col(url).alias("_url")).distinct().withColumn("_rest", F.when(F.col("_url").isNotNull(), rest).otherwise(""))
     parts = parts.withColumn("host", F.translate(F.regexp_extract("_rest", r"(?s)^([^/]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).withColumn("path", F.regexp_extract("_rest", r"(?s)^[^/]*(.*)$", 1)).drop("_rest")
     labels = F.split("host", r"\.")
