@@ -49,7 +49,7 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
 
     Files of the same text count once; ordinal orders files by name, then lines.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     once = files.groupBy("value").agg(F.min("file").alias("file"))
 
     def parsed(batches: Iterable):
