@@ -8,10 +8,10 @@
    buckets with others is the star's centre; each other node gets an edge to it, so a
    bucket of n nodes gives n - 1 candidates.
 3. Candidates are confirmed on the full sets. Connected components follow.
-4. A star may miss a link between two of its rays. Where a bucket still holds several
-   components, rays of different components are compared too, but for those whose link
-   the triangle inequality of the Jaccard distance to their centre rules out. So every
-   pair of texts that share a bucket is linked, ruled out or in one component already.
+4. A star may miss a link between two of its rays. Where a centre still has rays of
+   several components, these are compared too, but for those that what they share with
+   the centre rules out. So every pair of texts that share a bucket is linked, ruled out
+   or in one component already.
 
 A pair of similarity 0.8 shares none of 40 buckets of 6 rows with a chance of 5e-6.
 """
@@ -32,6 +32,8 @@ from samplewright.llm.shared import written
 from samplewright.llm.words import Piece, mixed
 
 _U = np.uint64
+#: A shingle that so many rays of a centre hold, or fewer, is joined by itself.
+RARE = 128
 
 
 @dataclass(frozen=True)
@@ -163,29 +165,58 @@ def _linked(judged: DataFrame, percent: int) -> DataFrame:
     return judged.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
 
 
-def _rest(rays: DataFrame, judged: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket, of different components, that sizes and triangle inequality leave open.
+def _rest(judged: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rays of one centre, of different components, that no bound rules out.
 
-    With centre c, the distance of x and y is at least the difference of their distances
-    to c. A ray that wasn't compared with c for its size lies between 0 and the ratio of sizes.
+    Let a ray x of n shingles share o with its centre. Two rays share at most the lesser o
+    and what both have beyond the centre. So their link is ruled out unless
+
+    * both hold some shingle beyond the centre that RARE rays of it or fewer hold; the
+      pairs of such a shingle's rays are at most RARE for each ray, or
+    * the lesser o and the lesser number q of their other shingles beyond the centre are
+      enough: a join by centre and band of sizes, for the sizes that o + q allow.
+
+    Both also keep to the triangle inequality of the Jaccard distance.
     """
-    reach = 1 - percent / 100 + 1e-9
-    at = judged.select(F.col("a").alias("centre"), F.col("b").alias("node"), (F.col("common") / F.col("whole")).alias("_s"))
-    known = labels.select("node", "label")
-    rows = rays.join(at, ["centre", "node"], "left").join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    ratio = F.least("n", "centre_n") / F.greatest("n", "centre_n")
-    is_centre = F.col("node") == F.col("centre")
-    low = F.when(is_centre, 1.0).otherwise(F.coalesce("_s", F.lit(0.0)))
-    high = F.when(is_centre, 1.0).otherwise(F.coalesce("_s", ratio))
-    rows = written(rows.select("bucket", "node", "n", "label", low.alias("low"), high.alias("high"), is_centre.alias("is_centre")), "rays-judged")
-    # the centre's component is the bucket's inner one; buckets of one component are done
-    inner = rows.where("is_centre").select("bucket", F.col("label").alias("inner"))
-    outer = rows.where("not is_centre").join(inner, "bucket").where("label <> inner").select("bucket", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), "inner")
-    every = rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"), F.col("low").alias("b_low"), F.col("high").alias("b_high"))
-    open_ = (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("inner")) | (F.col("a") < F.col("b")))
-    open_ &= _sizes_allow(F.col("a_n"), F.col("b_n"), percent) & (F.col("a_low") - F.col("b_high") <= reach) & (F.col("b_low") - F.col("a_high") <= reach)
-    pairs = outer.join(every, "bucket").where(open_)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sized, known = nodes.select("node", "n"), labels.select("node", "label")
+    rows = judged.select(F.col("a").alias("centre"), F.col("b").alias("node"), "common", (F.col("common") / F.col("whole")).alias("s"))
+    rows = rows.join(sized, "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    inner = known.select(F.col("node").alias("centre"), F.col("label").alias("inner"))
+    rows = written(rows.join(inner, "centre", "left").withColumn("is_outer", F.col("label") != F.coalesce("inner", "centre")).drop("inner"), "rays-judged")
+    # one component, or one ray: nothing to compare
+    open_centres = rows.groupBy("centre").agg(F.count_if("is_outer").alias("_outer"), F.count(F.lit(1)).alias("_rays")).where("_outer > 0 and _rays > 1").select("centre")
+    rows = written(rows.join(open_centres, "centre"), "rays-open")
+
+    mine, its = sets.select("node", F.col("set").alias("_mine")), sets.select(F.col("node").alias("centre"), F.col("set").alias("_its"))
+    beyond = rows.select("centre", "node").join(mine, "node").join(its, "centre")
+    beyond = written(beyond.select("centre", "node", F.explode(F.array_except("_mine", "_its")).alias("shingle")), "shingles-beyond")
+    held = written(beyond.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("rays")).where("rays > 1"), "shingles-held")
+    others = beyond.join(held.where(F.col("rays") > RARE), ["centre", "shingle"], "left_semi").groupBy("centre", "node").agg(F.count(F.lit(1)).alias("q"))
+    rows = written(rows.join(others, ["centre", "node"], "left").withColumn("q", F.coalesce("q", F.lit(0))), "rays-bounded")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(c) for c in df.columns if c in ("centre", "shingle", "band")], *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "label", "common", "q", "s", "is_outer")])
+
+    once = (F.col("x_label") != F.col("y_label")) & (~F.col("y_is_outer") | (F.col("x_node") < F.col("y_node")))
+    near = _sizes_allow(F.col("x_n"), F.col("y_n"), percent) & (F.abs(F.col("x_s") - F.col("y_s")) <= 1 - percent / 100 + 1e-9)
+    outer = rows.where("is_outer")
+
+    rare = beyond.join(held.where(F.col("rays") <= RARE).select("centre", "shingle"), ["centre", "shingle"], "left_semi")
+    of = ["centre", "node"]
+    by_shingle = side(outer.join(rare, of), "x").join(side(rows.join(rare, of), "y"), ["centre", "shingle"]).where(once & near)
+
+    # n_y <= (o + q) (1 + 1/t) - n_x and n_y >= t n_x, with t the similarity
+    band = lambda n: F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(1.02)))
+    t = percent / 100
+    top = ((F.col("common") + F.col("q")) * (1 + 1 / t) - F.col("n")).cast("double")
+    low = (F.col("n") * t).cast("double")
+    asking = outer.where(top >= low).withColumn("band", F.explode(F.sequence(band(low) - 1, F.greatest(band(top), band(low)) + 1)))
+    shared = F.least("x_common", "y_common") + F.least("x_q", "y_q")
+    enough = shared * 100 >= (F.col("x_n") + F.col("y_n") - shared) * percent
+    by_size = side(asking, "x").join(side(rows.withColumn("band", band(F.col("n").cast("double"))), "y"), ["centre", "band"]).where(once & near & enough)
+
+    pairs = by_shingle.select("x_node", "y_node").union(by_size.select("x_node", "y_node"))
+    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,22 +236,20 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     nodes = signed.where("node is not null").groupBy("node").agg(best, F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
     nodes = written(nodes.select("node", "_k.key", "_k.text_hash", "n", "buckets"), "nodes")
 
-    rows = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
+    rows = nodes.select("node", F.explode("buckets").alias("bucket"))
     crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = written(rows.join(crowded, "bucket"), "buckets")
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    centres = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("_c")).select("bucket", F.col("_c.node").alias("centre"), F.col("_c.n").alias("centre_n"))
-    rays = written(shared.drop("size").join(centres, "bucket"), "rays")
-
-    stars = rays.where((F.col("node") != F.col("centre")) & _sizes_allow(F.col("n"), F.col("centre_n"), near.percent))
+    centres = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("_c")).select("bucket", F.col("_c.node").alias("centre"))
+    stars = shared.select("bucket", "node").join(centres, "bucket").where("node <> centre")
     pairs = written(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = nodes.select("node", "key", "text_hash").join(rays.select("node").distinct(), "node", "left_semi")
+    wanted = nodes.select("node", "key", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     sets = written(sets_of(docs, wanted, near, key, text), "sets")
 
     judged = written(confirmed(pairs, sets), "judged")
     links = _linked(judged, near.percent)
     labels = components(links)
-    rest = written(_rest(rays, judged, labels, near.percent), "rest")
+    rest = written(_rest(judged, labels, nodes, sets, near.percent), "rest")
     if rest.limit(1).count():
         more = written(_linked(confirmed(rest, sets), near.percent), "more-links")
         if more.limit(1).count():
