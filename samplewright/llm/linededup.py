@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplewright.llm.mixing import WORD
-from samplewright.llm.shared import written
+from samplewright.llm.shared import join_hot, written
 
 DOC = ["key", "text_hash"]
 
@@ -77,8 +77,8 @@ def repeated_runs(rows: DataFrame, run_words: int, gram_words: int) -> DataFrame
     windows = near.select(*DOC, F.explode(F.array("_ahead", "_behind")).alias("w")).where("w is not null").select(*DOC, F.col("w.c.a").alias("a"), F.col("w.c.b").alias("b"), "w.low", "w.high")
     windows = written(windows, "windows")
     place = F.struct(F.col("key").isNull().alias("null"), "key", "text_hash", "low", "high")
-    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    later = windows.join(firsts, ["a", "b"])
+    firsts = written(windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "first-windows")
+    later = join_hot(windows, firsts, ["a", "b"], "_n")
     same = F.col("key").eqNullSafe(F.col("first.key")) & (F.col("text_hash") == F.col("first.text_hash"))
     # in one document, lines of the first occurrence stay even if the later one overlaps it
     low = F.when(same, F.greatest("low", F.col("first.high") + 1)).otherwise(F.col("low"))

@@ -1,4 +1,4 @@
-"""Tables written to the folder that the driver and all executors share.
+"""Tables in the folder that the driver and all executors share, and joins of hot keys.
 
 A lineage is cut by writing Parquet under ``spark.checkpoint.dir`` and reading it
 again: such files outlive any executor. The setting is read from the session; a
@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
@@ -62,3 +63,21 @@ def drop_written() -> None:
                 drop(spark, path)
             except Exception:  # the JVM may have gone first
                 return
+
+
+#: Keys that hold over a so-manieth of all rows are hot: there can't be more of them than that.
+HOT_KEYS = 10_000
+
+
+def join_hot(rows: DataFrame, per_key: DataFrame, on: list[str], count: str) -> DataFrame:
+    """`rows` inner-joined with one row for each key, which says in `count` how many rows have the key.
+
+    Hot keys, HOT_KEYS at most, are broadcast, so that none is a single task's; the rest
+    meets by shuffle. Both tables are read twice and should be written ones; `count` is
+    dropped.
+    """
+    total = rows.count()
+    is_hot = F.col(count) * HOT_KEYS > total
+    hot, cold = per_key.where(is_hot).drop(count), per_key.where(~is_hot).drop(count)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
