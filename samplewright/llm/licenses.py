@@ -1,14 +1,9 @@
-"""License scans: MinHash bands over overlapping windows retrieve templates, containment verifies.
+"""License scans: an index of the templates' shingles retrieves templates, containment verifies at every place.
 
-A template's shingles must lie in some window of a text, whose width and step follow the
-template's size, so that one window holds any place of it whole. Window and template
-share a band of MinHashes with high probability; then the template's shingles are
-counted in the window itself.
-
-With containment c of a template of t shingles and windows of m, the similarity is at
-least c t / (m + (1 - c) t): for c = 0.8 and m = 1.25 u, where the class holds sizes from
-u / 1.25 to u, that is 0.44 or more. One of 50 bands of 2 rows is then shared but for a
-chance of 3e-5 (for c = 1: 3e-8). A template of one shingle has windows of one: certain.
+A text can hold a template's share in some window only if all of it holds as many of
+its shingles, so counting those retrieves every template that can be found. Containment
+is then the best of all windows of a template's size and a quarter, one from each
+shingle on: exact, with no chance of a loss.
 """
 
 from __future__ import annotations
@@ -22,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplewright.llm.arrow import as_bytes, pieces
-from samplewright.llm.words import Piece, mixed, shingle_hashes, word_hashes
+from samplewright.llm.words import SPACES, Piece, shingle_hashes, word_hashes
 
 _U = np.uint64
 
@@ -38,26 +33,55 @@ NOTICES: dict[str, str] = {
 }
 
 
+_PUNCTUATION_BYTES = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[list(_PUNCTUATION_BYTES)] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[list(SPACES)] = True
+#: Typographic marks, as ASCII ones.
+_MARKS = {c.encode(): a for c, a in {"\u2018": b"'", "\u2019": b"'", "\u201c": b'"', "\u201d": b'"', "\u201e": b'"', "\u00ab": b'"', "\u00bb": b'"', "\u2013": b"-", "\u2014": b"-", "\u2022": b"*"}.items()}
+
+
+def _ascii_marks(text: bytes) -> bytes:
+    if not text.isascii():
+        for mark, ascii_mark in _MARKS.items():
+            text = text.replace(mark, ascii_mark)
+    return text
+
+
+def plain(text: bytes) -> bytes:
+    """The text with blanks for the punctuation at either end of a word, and typographic marks as ASCII ones.
+
+    Words of nothing but punctuation go, and with them the marks of comment blocks:
+    ` * `, `//`, `#`, `;`, `--`. Punctuation inside a word stays.
+    """
+    text = _ascii_marks(text)
+    codes = np.frombuffer(text, np.uint8)
+    edge = np.zeros(codes.size + 2, np.int8)
+    edge[1:-1] = _PUNCTUATION[codes]
+    turns = np.flatnonzero(edge[1:] != edge[:-1])
+    starts, ends = turns[0::2], turns[1::2]
+    blank = np.ones(codes.size + 2, bool)
+    blank[1:-1] = _BLANK[codes]
+    outer = blank[starts] | blank[ends + 1]
+    steps = np.zeros(codes.size + 1, np.int8)
+    steps[starts[outer]] = 1
+    steps[ends[outer]] -= 1
+    return np.where(np.cumsum(steps[:-1], dtype=np.int8) > 0, np.uint8(32), codes).tobytes()
+
+
+def kept_words(text: bytes) -> list[int]:
+    """For each word that `plain` leaves, its place among the words as written."""
+    return [k for k, word in enumerate(_ascii_marks(text).split()) if word.strip(_PUNCTUATION_BYTES)]
+
+
 @dataclass(frozen=True)
 class Scan:
-    """Words of a shingle, least containment, bands and rows of each, ratio of sizes in a class of templates."""
+    """Words of a shingle, least containment, and whether words are taken bare of punctuation (see `plain`)."""
 
     shingle: int = 5
     containment: float = 0.8
-    bands: int = 50
-    rows: int = 2
-    ratio: float = 1.25
-
-
-@dataclass
-class _Class:
-    """Templates of like size, the windows for them, and their band keys."""
-
-    width: int
-    step: int
-    members: list[int]
-    keys: np.ndarray  # sorted band keys
-    owners: np.ndarray  # the template of each
+    bare: bool = False
 
 
 class Templates:
@@ -65,101 +89,105 @@ class Templates:
 
     def __init__(self, templates: dict[str, str], scan: Scan) -> None:
         self.scan, self.names = scan, list(templates)
-        self.seeds = mixed(np.arange(1, scan.bands * scan.rows + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
-        self.sets = [np.unique(self._shingles(t.encode())) for t in templates.values()]
+        sets = [np.unique(self._shingles(t.encode())) for t in templates.values()]
+        self.sizes = np.array([x.size for x in sets], np.int64)
         self.words = [len(t.encode().split()) for t in templates.values()]
-        self.every = np.unique(np.concatenate([np.empty(0, _U), *self.sets]))
-        self.classes: list[_Class] = []
-        order = sorted((k for k in range(len(self.sets)) if self.sets[k].size), key=lambda k: self.sets[k].size)
-        while order:
-            least = self.sets[order[0]].size
-            members = [k for k in order if self.sets[k].size <= least * scan.ratio]
-            order = order[len(members) :]
-            most = self.sets[members[-1]].size
-            step = 1 + most // 4
-            keys = [self.band_keys(self.sets[k], 1 << 40, 1)[0] for k in members]
-            flat, owners = np.concatenate(keys), np.repeat(members, [len(k) for k in keys])
-            sort = np.argsort(flat, kind="stable")
-            self.classes.append(_Class(most + step - 1, step, members, flat[sort], owners[sort]))
+        flat = np.concatenate([np.empty(0, _U), *sets])
+        order = np.argsort(flat, kind="stable")
+        #: each shingle of any template, and where its templates begin and end in `owners`
+        self.every, self.first = np.unique(flat[order], return_index=True)
+        self.end = np.append(self.first[1:], flat.size) if flat.size else self.first
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        shingle = np.repeat(np.arange(self.every.size), self.end - self.first)
+        #: each template's shingles, as places in `every`
+        self.members = np.split(shingle[np.argsort(self.owners, kind="stable")], np.cumsum(self.sizes)[:-1])
 
     def _shingles(self, text: bytes) -> np.ndarray:
-        words = word_hashes(text, fold=True)
+        words = word_hashes(plain(text) if self.scan.bare else text, fold=True)
         if 0 < words.size < self.scan.shingle:
             raise ValueError("a template needs as many words as a shingle")
         return shingle_hashes(words, self.scan.shingle)
 
-    def band_keys(self, runs: np.ndarray, width: int, step: int) -> np.ndarray:
-        """For each window of `width` shingles, one from each `step`, the keys of its bands."""
-        count = 1 + max(0, -(-(runs.size - width) // step))
-        starts = np.minimum(np.arange(count) * step, max(0, runs.size - width))
-        least = np.empty((count, self.seeds.size), _U)
-        for k, seed in enumerate(self.seeds):
-            values = mixed(runs ^ seed)
-            if width >= runs.size:
-                least[:, k] = values.min()
-            else:
-                least[:, k] = _sliding_min(values, width)[starts]
-        keys = np.broadcast_to(mixed(np.arange(1, self.scan.bands + 1, dtype=_U)), (count, self.scan.bands))
-        for column in range(self.scan.rows):
-            keys = mixed(keys * _U(0xD6E8FEB86659FD93) + least[:, column :: self.scan.rows])
-        return keys
-
-    def scan_text(self, runs: np.ndarray) -> list[tuple[int, float, int]]:
-        """(template, containment, first shingle) of the best window of each template found in a text's shingles."""
-        found: dict[int, tuple[float, int]] = {}
-        for group in self.classes:
-            keys = self.band_keys(runs, group.width, group.step)
-            place = np.searchsorted(group.keys, keys)
-            rows, columns = np.nonzero(group.keys[np.minimum(place, group.keys.size - 1)] == keys)
-            retrieved = set()
-            for row, column in zip(rows.tolist(), columns.tolist(), strict=True):
-                at, key = place[row, column], keys[row, column]
-                while at < group.keys.size and group.keys[at] == key:
-                    retrieved.add((row, int(group.owners[at])))
-                    at += 1
-            for row, template in sorted(retrieved):
-                start = min(row * group.step, max(0, runs.size - group.width))
-                window, own = runs[start : start + group.width], self.sets[template]
-                held = np.isin(window, own)
-                share = np.unique(window[held]).size / own.size
-                if share >= self.scan.containment and share > found.get(template, (0.0, 0))[0]:
-                    found[template] = (share, start + int(np.flatnonzero(held)[0]))
-        return [(t, share, at) for t, (share, at) in sorted(found.items())]
-
-
-def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each `width` values in a row, by doubling."""
-    done, reach = values, 1
-    while reach * 2 <= width:
-        done = np.minimum(done[:-reach], done[reach:])
-        reach *= 2
-    return np.minimum(done[: values.size - width + 1], done[width - reach :][: values.size - width + 1])
+    def known(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place in `every` of each shingle, and whether it is there."""
+        if not self.every.size:
+            return np.zeros(runs.size, np.int64), np.zeros(runs.size, bool)
+        place = np.minimum(np.searchsorted(self.every, runs), self.every.size - 1)
+        return place, self.every[place] == runs
+
+    def scan_text(self, at: np.ndarray, which: np.ndarray) -> list[tuple[int, float, int]]:
+        """(template, containment, first shingle) of the best window of each template found in a text.
+
+        at: the places of its shingles that are known, rising; which: each one's place in `every`.
+        """
+        distinct = np.unique(which)
+        counts = self.end[distinct] - self.first[distinct]
+        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        held = np.bincount(self.owners[np.repeat(self.first[distinct], counts) + inside], minlength=self.sizes.size)
+        found = []
+        for template in np.flatnonzero((held > 0) & (held >= self.scan.containment * self.sizes - 1)).tolist():
+            own = np.isin(which, self.members[template])
+            size = int(self.sizes[template])
+            count, first = _most_distinct(at[own], which[own], size + size // 4)
+            if count / size >= self.scan.containment:
+                found.append((template, count / size, first))
+        return found
+
+
+def _most_distinct(at: np.ndarray, which: np.ndarray, width: int) -> tuple[int, int]:
+    """The most distinct values of `which` whose places lie within `width`, and the first place of the earliest such window."""
+    ends = np.searchsorted(at, at + width)
+    # the value's place before, by index; -1 for its first
+    order = np.argsort(which, kind="stable")
+    before = np.full(at.size, -1)
+    again = np.flatnonzero(which[order][1:] == which[order][:-1])
+    before[order[again + 1]] = order[again]
+    if not again.size:
+        counts = ends - np.arange(at.size)
+        best = int(counts.argmax())
+        return int(counts[best]), int(at[best])
+    after = np.full(at.size, at.size)
+    after[order[again]] = order[again + 1]
+    most, first, now, end = 0, 0, 0, 0
+    for start, (stop, following) in enumerate(zip(ends.tolist(), after.tolist(), strict=True)):
+        while end < stop:
+            now += int(before[end] < start)
+            end += 1
+        if now > most:
+            most, first = now, int(at[start])
+        now -= following >= stop  # the value leaves with its only place in the window
+    return most, first
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, scan: Scan = Scan(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document and template found in it: key, license, containment, first_word, n_words.
 
-    containment: the share of the template's five-word shingles (A-Z as a-z, words parted
-    by ASCII white space) in the best window, `scan.containment` or more; first_word: the
-    place, from 0, of the first word matched; n_words: those of the template. Texts that
-    hold no shingle of any template can't reach that and aren't cut into windows. Null,
-    empty and short texts give no rows; repeated rows each give theirs. Texts are scanned
-    whole; other columns aren't read. The templates, a parameter, are broadcast with the
-    function.
+    containment: the share of the template's distinct five-word shingles in the best
+    window of as many shingles and a quarter, `scan.containment` or more. Words are parted
+    by ASCII white space and A-Z count as a-z; with `scan.bare`, punctuation around words
+    doesn't count (see `plain`), in texts and templates alike. first_word: the place, from 0, of the
+    first word matched; n_words: those of the template; both count the words as written.
+    Null, empty and short texts give no rows; repeated rows each give theirs. Texts are
+    scanned whole; other columns aren't read. The templates, NOTICES by default, are
+    broadcast with the function.
     """
     known = Templates(NOTICES if templates is None else templates, scan)
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            whole = Piece([x or b"" for x in as_bytes(piece.column("text"))], fold=True)
+            bodies = as_bytes(piece.column("text"))
+            whole = Piece([plain(x) if x and scan.bare else x or b"" for x in bodies], fold=True)
             runs, at = whole.shingles(scan.shingle)
+            place, hit = known.known(runs)
+            at, place = at[hit], place[hit]
             owner = whole.doc[at]
-            place = np.searchsorted(known.every, runs)
-            hit = known.every[np.minimum(place, known.every.size - 1)] == runs if known.every.size else np.zeros(runs.size, bool)
             rows = []
-            for doc in np.unique(owner[hit]).tolist():
+            for doc in np.unique(owner).tolist():
                 low, high = np.searchsorted(owner, [doc, doc + 1])
-                rows += [(doc, known.names[t], share, first, known.words[t]) for t, share, first in known.scan_text(runs[low:high])]
+                found = known.scan_text(at[low:high], place[low:high])
+                found = [(t, share, int(first - whole.first[doc])) for t, share, first in found]
+                places = kept_words(bodies[doc]) if found and scan.bare else None
+                rows += [(doc, known.names[t], share, places[first] if places else first, known.words[t]) for t, share, first in found]
             docs_, names, shares, firsts, counts = zip(*rows, strict=True) if rows else ((),) * 5
             columns = [piece.column("key").take(pa.array(docs_, pa.int64())), pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(firsts, pa.int64()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "license", "containment", "first_word", "n_words"])
