@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), scan=licenses.Scan(bare=True))
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.common_templates(), licenses.Scan(bare=True))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
