@@ -1,14 +1,15 @@
 """SentencePiece encoding and decoding by a Viterbi search that common prefixes share.
 
-A text's words, each marked by U+2581 for the space before it, are encoded by
-themselves: pieces hold the mark at their start only. The distinct marked words of a
-batch, sorted, are the leaves of a trie; walked depth-first, a word starts from the
-forward scores of the prefix that it shares with the one before.
+A text's words, each with the marks U+2581 of all spaces before it, are encoded by
+themselves: pieces hold marks at their start only, or nothing else. The distinct marked
+words of a batch, sorted, are the leaves of a trie; walked depth-first, a word starts
+from the forward scores of the prefix that it shares with the one before.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,9 +55,10 @@ class Vocabulary:
                 self.byte_ids[value], body = i, bytes([value])
             elif not (model.is_unknown(i) or model.is_control(i) or model.is_unused(i)):
                 body = piece.replace(MARK, " ").encode()
-                if MARK not in piece[1:]:
-                    score = -math.log(rank + 10) if scores == "rank" else model.get_score(i)
-                    found[piece] = (round(score * MILLION), i)
+                if MARK in piece.lstrip(MARK):
+                    raise ValueError(f"a piece with a space after a letter: {piece}")
+                score = -math.log(rank + 10) if scores == "rank" else model.get_score(i)
+                found[piece] = (round(score * MILLION), i)
                 rank += 1
             self.piece_bytes.append(body)
         self.unknown = min((s for s, _ in found.values()), default=0) - 10 * MILLION
@@ -114,8 +116,18 @@ class Vocabulary:
         return b"".join([table[i] for i in ids])[1:]
 
 
+_UNIT = re.compile(" +[^ ]*")
+
+
+def units(text: str) -> list[str]:
+    """The words of a text that isn't empty, each after its spaces but the first one."""
+    if "  " in text or text[0] == " ":
+        return [unit[1:] for unit in _UNIT.findall(" " + text)]
+    return text.split(" ")
+
+
 class Encoder:
-    """A vocabulary with the ids of recent words, packed as 32-bit integers."""
+    """A vocabulary with the ids of recent words and the spaces before them, packed as 32-bit integers."""
 
     def __init__(self, model_file: str, scores: str) -> None:
         self.vocabulary = Vocabulary(model_file, scores)
@@ -124,14 +136,14 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known = {w: self.known[w] for w in words if w in self.known}
-        new = sorted(MARK + w for w in words if w not in self.known)
+        new = sorted(MARK + w.replace(" ", MARK) for w in words if w not in self.known)
         for k in range(0, len(new), 10_000):  # so that lists of ids don't pile up
             some = new[k : k + 10_000]
-            self.known.update((w[1:], np.array(ids, np.int32).tobytes()) for w, ids in zip(some, self.vocabulary.encode_sorted(some), strict=True))
+            self.known.update((w[1:].replace(MARK, " "), np.array(ids, np.int32).tobytes()) for w, ids in zip(some, self.vocabulary.encode_sorted(some), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids; none for null and empty texts."""
-        parts = [x.replace(MARK, LITERAL_MARK).split(" ") if x else [] for x in texts]
+        parts = [units(x.replace(MARK, LITERAL_MARK)) if x else [] for x in texts]
         self.learn(set().union(*parts))
         return [b"".join(map(self.known.__getitem__, p)) for p in parts]
 
