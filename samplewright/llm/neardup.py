@@ -4,16 +4,19 @@
    bins; a bin's least hash is one MinHash. An empty bin takes the value of the first
    filled bin in its own random order (optimal densification). Rows of bins are hashed
    to buckets.
-2. Equal sets are one node. In each bucket of several nodes, the one that shares most
-   buckets with others is the star's centre; each other node gets an edge to it, so a
-   bucket of n nodes gives n - 1 candidates.
+2. Equal sets are one node. In a bucket of up to `turns` nodes, each node in turn is a
+   star's centre for those after it, so that no pair of it is missed. In a larger one
+   only the node that shares most buckets with others is: n - 1 candidates.
 3. Candidates are confirmed on the full sets. Connected components follow.
-4. A star may miss a link between two of its rays. Where a centre still has rays of
-   several components, these are compared too, but for those that what they share with
-   the centre rules out. So every pair of texts that share a bucket is linked, ruled out
-   or in one component already.
-
-A pair of similarity 0.8 shares none of 40 buckets of 6 rows with a chance of 5e-6.
+4. A single star may miss a link between two of its rays. So the nodes of larger buckets
+   that still lie in several components go on to the next level: more and longer rows of
+   bins, from further permutations, which part them into smaller buckets, where only nodes
+   of different components are compared. A level makes at most `turns` candidates for each
+   node and bucket, so the work is in proportion to nodes at every level.
+
+A pair of similarity 0.8 shares none of the first level's 40 buckets of 6 rows with a
+chance of 5e-6; a pair that lies in large open buckets only shares none of the second
+level's 100 of 12 rows with a chance of 8e-4.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplewright.llm.arrow import as_bytes, pieces
@@ -32,18 +35,22 @@ from samplewright.llm.shared import written
 from samplewright.llm.words import Piece, mixed
 
 _U = np.uint64
-#: A shingle that so many rays of a centre hold, or fewer, is joined by itself.
-RARE = 128
 
 
 @dataclass(frozen=True)
 class Near:
-    """Words of a shingle, similarity in per cent, bands and rows of each."""
+    """Words of a shingle, similarity in per cent, and how buckets are made.
+
+    bands and rows: those of the first level; level k (from 0) has bands * 2.5**k bands of
+    rows * (k + 1) rows. turns: the largest bucket whose pairs are all compared.
+    """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 6
+    turns: int = 16
+    levels: int = 4
 
 
 def text_sets(piece: Piece, shingle: int) -> list[np.ndarray]:
@@ -64,17 +71,19 @@ def text_sets(piece: Piece, shingle: int) -> list[np.ndarray]:
 
 
 class Bands:
-    """Bucket keys of sorted sets."""
+    """Bucket keys of sorted sets at one level."""
 
-    def __init__(self, near: Near) -> None:
-        self.near = near
-        self.bins = near.bands * near.rows
+    def __init__(self, near: Near, level: int = 0) -> None:
+        self.bins, self.rows = near.bands * near.rows, near.rows * (level + 1)
+        bands = round(near.bands * 2.5**level)
+        self.each = self.bins // self.rows  # bands of one permutation
         # row j: the order in which bin j, if it is empty, looks at the others
         self.order = np.random.default_rng(7).random((self.bins, self.bins)).astype(np.float32)
-        self.salt = mixed(np.arange(1, near.bands + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+        self.seeds = mixed((np.arange(-(-bands // self.each), dtype=_U) + _U(level << 32)) * _U(0x9FB21C651E98DF25))
+        self.salt = mixed((np.arange(1, self.seeds.size * self.each + 1, dtype=_U) + _U(level << 32)) * _U(0x9E3779B97F4A7C15)).reshape(self.seeds.size, self.each)
 
-    def keys(self, own: np.ndarray) -> np.ndarray:
-        """`own` is sorted, so the first hash of each bin is its least."""
+    def _mins(self, own: np.ndarray) -> np.ndarray:
+        """One value for each bin; `own` is sorted, so the first hash of a bin is its least."""
         bins = ((own >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1])))
         filled = bins[first]
@@ -85,10 +94,17 @@ class Bands:
             empty[filled] = False
             holes = np.flatnonzero(empty)
             values[holes] = own[first][self.order[np.ix_(holes, filled)].argmin(axis=1)]
-        key = self.salt
-        for column in values.reshape(self.near.bands, self.near.rows).T:
-            key = mixed(key * _U(0xD6E8FEB86659FD93) + column)
-        return key
+        return values
+
+    def keys(self, own: np.ndarray) -> np.ndarray:
+        out = []
+        for seed, key in zip(self.seeds, self.salt, strict=True):
+            # the first permutation of all is the order of the hashes themselves
+            values = self._mins(own if seed == 0 else np.sort(mixed(own ^ seed)))
+            for column in values[: self.each * self.rows].reshape(self.each, self.rows).T:
+                key = mixed(key * _U(0xD6E8FEB86659FD93) + column)
+            out.append(key)
+        return np.concatenate(out)
 
 
 def _texts_of(piece: pa.RecordBatch) -> Piece:
@@ -130,10 +146,6 @@ def sets_of(docs: DataFrame, wanted: DataFrame, near: Near, key: str, text: str)
     return sets.groupBy("node").agg(F.first("set").alias("set"))
 
 
-def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """`pairs` (a, b, ...) with `common` and `whole`: sizes of the sets' intersection and union."""
     left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"_{c}")) for c in "ab")
@@ -161,62 +173,79 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components have not settled in {most_rounds} rounds")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`rows` (node, ...) with `label`: that of the node's component, or the node itself."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` after further links (a, b): components of the components."""
+    ends = _labelled(_labelled(links.withColumnRenamed("a", "node"), labels).select(F.col("label").alias("a"), F.col("b").alias("node")), labels)
+    above = components(ends.select("a", F.col("label").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("_above"))
+    nodes = labels.select("node").union(links.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    return written(_labelled(nodes, labels).join(above, "label", "left").select("node", F.coalesce("_above", "label").alias("label")), "merged")
+
+
+def crowded(rows: DataFrame, name: str) -> DataFrame:
+    """The rows (node, label, bucket) of buckets that hold nodes of several components, with `size`."""
+    sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+    return written(rows.join(sized.where("_low <> _high").select("bucket", "size"), "bucket"), name)
+
+
+def candidates(rows: DataFrame, turns: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different components, from the rows (node, label, bucket, size) of crowded buckets."""
+    small = rows.where(F.col("size") <= turns).groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("all"))
+    # `turns` entries at most
+    rays = lambda x: F.transform(F.filter("all", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
+    by_turns = small.select(F.explode(F.flatten(F.transform("all", rays))).alias("p")).select("p.*")
+    large = rows.where(F.col("size") > turns)
+    weight = large.groupBy("node").agg(F.sum("size").alias("weight"))
+    centres = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "label")).alias("_c"))
+    stars = large.join(centres, "bucket").where(F.col("label") != F.col("_c.label"))
+    stars = stars.select(F.least("node", "_c.node").alias("a"), F.greatest("node", "_c.node").alias("b"))
+    return by_turns.union(stars).distinct()
+
+
 def _linked(judged: DataFrame, percent: int) -> DataFrame:
     return judged.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
 
 
-def _rest(judged: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rays of one centre, of different components, that no bound rules out.
+def deeper(sets: DataFrame, near: Near, level: int) -> DataFrame:
+    """node and bucket, for each bucket of the level, of the nodes of `sets`."""
 
-    Let a ray x of n shingles share o with its centre. Two rays share at most the lesser o
-    and what both have beyond the centre. So their link is ruled out unless
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(near, level)
+        for batch in batches:
+            keys = [bands.keys(np.sort(np.asarray(x.values).view(_U))).view(np.int64) for x in batch.column("set")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "buckets"])
 
-    * both hold some shingle beyond the centre that RARE rays of it or fewer hold; the
-      pairs of such a shingle's rays are at most RARE for each ray, or
-    * the lesser o and the lesser number q of their other shingles beyond the centre are
-      enough: a join by centre and band of sizes, for the sizes that o + q allow.
+    return sets.select("node", "set").mapInArrow(keyed, "node binary, buckets array<long>").select("node", F.explode("buckets").alias("bucket"))
 
-    Both also keep to the triangle inequality of the Jaccard distance.
-    """
-    sized, known = nodes.select("node", "n"), labels.select("node", "label")
-    rows = judged.select(F.col("a").alias("centre"), F.col("b").alias("node"), "common", (F.col("common") / F.col("whole")).alias("s"))
-    rows = rows.join(sized, "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    inner = known.select(F.col("node").alias("centre"), F.col("label").alias("inner"))
-    rows = written(rows.join(inner, "centre", "left").withColumn("is_outer", F.col("label") != F.coalesce("inner", "centre")).drop("inner"), "rays-judged")
-    # one component, or one ray: nothing to compare
-    open_centres = rows.groupBy("centre").agg(F.count_if("is_outer").alias("_outer"), F.count(F.lit(1)).alias("_rays")).where("_outer > 0 and _rays > 1").select("centre")
-    rows = written(rows.join(open_centres, "centre"), "rays-open")
-
-    mine, its = sets.select("node", F.col("set").alias("_mine")), sets.select(F.col("node").alias("centre"), F.col("set").alias("_its"))
-    beyond = rows.select("centre", "node").join(mine, "node").join(its, "centre")
-    beyond = written(beyond.select("centre", "node", F.explode(F.array_except("_mine", "_its")).alias("shingle")), "shingles-beyond")
-    held = written(beyond.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("rays")).where("rays > 1"), "shingles-held")
-    others = beyond.join(held.where(F.col("rays") > RARE), ["centre", "shingle"], "left_semi").groupBy("centre", "node").agg(F.count(F.lit(1)).alias("q"))
-    rows = written(rows.join(others, ["centre", "node"], "left").withColumn("q", F.coalesce("q", F.lit(0))), "rays-bounded")
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(c) for c in df.columns if c in ("centre", "shingle", "band")], *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "label", "common", "q", "s", "is_outer")])
-
-    once = (F.col("x_label") != F.col("y_label")) & (~F.col("y_is_outer") | (F.col("x_node") < F.col("y_node")))
-    near = _sizes_allow(F.col("x_n"), F.col("y_n"), percent) & (F.abs(F.col("x_s") - F.col("y_s")) <= 1 - percent / 100 + 1e-9)
-    outer = rows.where("is_outer")
-
-    rare = beyond.join(held.where(F.col("rays") <= RARE).select("centre", "shingle"), ["centre", "shingle"], "left_semi")
-    of = ["centre", "node"]
-    by_shingle = side(outer.join(rare, of), "x").join(side(rows.join(rare, of), "y"), ["centre", "shingle"]).where(once & near)
-
-    # n_y <= (o + q) (1 + 1/t) - n_x and n_y >= t n_x, with t the similarity
-    band = lambda n: F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(1.02)))
-    t = percent / 100
-    top = ((F.col("common") + F.col("q")) * (1 + 1 / t) - F.col("n")).cast("double")
-    low = (F.col("n") * t).cast("double")
-    asking = outer.where(top >= low).withColumn("band", F.explode(F.sequence(band(low) - 1, F.greatest(band(top), band(low)) + 1)))
-    shared = F.least("x_common", "y_common") + F.least("x_q", "y_q")
-    enough = shared * 100 >= (F.col("x_n") + F.col("y_n") - shared) * percent
-    by_size = side(asking, "x").join(side(rows.withColumn("band", band(F.col("n").cast("double"))), "y"), ["centre", "band"]).where(once & near & enough)
-
-    pairs = by_shingle.select("x_node", "y_node").union(by_size.select("x_node", "y_node"))
-    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' signatures, and for each node its label and first document (key, text_hash)."""
+    signed = written(signatures(docs, near, key, text), "signatures")
+    best = F.min(F.struct(F.col("key").isNull().alias("_null"), F.col("key"), F.col("text_hash"))).alias("_k")
+    nodes = signed.where("node is not null").groupBy("node").agg(best, F.first("buckets").alias("buckets"))
+    nodes = written(nodes.select("node", "_k.key", "_k.text_hash", "buckets"), "nodes")
+
+    rows = crowded(_labelled(nodes.select("node", F.explode("buckets").alias("bucket")), None), "buckets")
+    pairs = written(candidates(rows, near.turns), "candidates")
+    wanted = nodes.select("node", "key", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    sets = written(sets_of(docs, wanted, near, key, text), "sets")
+    labels = components(_linked(confirmed(pairs, sets), near.percent))
+    for level in range(1, near.levels):
+        large = _labelled(rows.where(F.col("size") > near.turns).select("node", "bucket"), labels)
+        still = written(crowded(large, "open-buckets").select("node").distinct(), "open")
+        if still.limit(1).count() == 0:
+            break
+        rows = crowded(_labelled(deeper(sets.join(still, "node", "left_semi"), near, level), labels), "buckets")
+        more = written(_linked(confirmed(candidates(rows, near.turns), sets), near.percent), "more-links")
+        if more.limit(1).count():
+            labels = merged(labels, more)
+    return signed, _labelled(nodes.select("node", "key", "text_hash"), labels)
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,43 +258,30 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     links reach; kept: the key is that. Rows of equal sets are one node, so groups of
     copies cost one row each. Repeated rows are kept or dropped together. Null keys are
     reachable by none: a component of nothing else has a null component_id and is kept.
-    Other columns aren't read; an empty table gives no rows.
+    Texts are taken whole; a task holds one text's words and shingles at a time, some
+    twenty times the text's length. Other columns aren't read; an empty table gives no rows.
     """
-    signed = written(signatures(docs, near, key, text), "signatures")
-    best = F.min(F.struct(F.col("key").isNull().alias("_null"), F.col("key"), F.col("text_hash"))).alias("_k")
-    nodes = signed.where("node is not null").groupBy("node").agg(best, F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
-    nodes = written(nodes.select("node", "_k.key", "_k.text_hash", "n", "buckets"), "nodes")
-
-    rows = nodes.select("node", F.explode("buckets").alias("bucket"))
-    crowded = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = written(rows.join(crowded, "bucket"), "buckets")
-    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    centres = shared.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("_c")).select("bucket", F.col("_c.node").alias("centre"))
-    stars = shared.select("bucket", "node").join(centres, "bucket").where("node <> centre")
-    pairs = written(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = nodes.select("node", "key", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    sets = written(sets_of(docs, wanted, near, key, text), "sets")
-
-    judged = written(confirmed(pairs, sets), "judged")
-    links = _linked(judged, near.percent)
-    labels = components(links)
-    rest = written(_rest(judged, labels, nodes, sets, near.percent), "rest")
-    if rest.limit(1).count():
-        more = written(_linked(confirmed(rest, sets), near.percent), "more-links")
-        if more.limit(1).count():
-            labels = components(links.union(more))
-
-    linked = labels.join(nodes.select("node", "key"), "node")
-    least = linked.groupBy("label").agg(F.min("key").alias("component_id"))
-    reached = linked.join(least, "label").select("node", "component_id")
-    ids = nodes.select("node", "key").join(reached, "node", "left").select("node", F.coalesce("component_id", "key").alias("component_id"))
+    signed, nodes = _grouped(docs, near, key, text)
+    least = nodes.groupBy("label").agg(F.min("key").alias("component_id"))
+    ids = nodes.join(least, "label").select("node", "component_id")
     out = signed.select("key", "text_hash", "node", "n_shingles").join(ids, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")))
     return out.select(F.col("key").alias(key), "text_hash", "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each component; of rows with equal key and text one stays."""
-    kept = near_duplicates(docs, near, key, text).where("kept").select(F.col(key).alias("_kept_key"), F.col("text_hash").alias("_kept_hash")).distinct()
-    same = F.col(key).eqNullSafe(F.col("_kept_key")) & (F.xxhash64(text) == F.col("_kept_hash"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([key, text])
+    """`docs` with one document of each component: the smallest key's (null last), of several texts of that key the one of least hash.
+
+    Texts without words, null and empty ones too, are components of their own: they stay.
+    Of rows with equal key and text one stays, the others are repetitions. All columns
+    stay as they are; the texts are shuffled once. An empty table stays empty.
+    """
+    signed, nodes = _grouped(docs, near, key, text)
+    one = nodes.groupBy("label").agg(F.min(F.struct(F.col("key").isNull().alias("_null"), "key", "text_hash")).alias("_k")).select("_k.key", "_k.text_hash")
+    kept = one.union(signed.where("node is null").select("key", "text_hash"))
+    # a key as text, so that null is a value to join and group by
+    name = lambda c: F.coalesce(c.cast("string"), F.lit("\0null"))
+    kept = kept.select(name(F.col("key")).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
+    rows = docs.select(name(F.col(key)).alias("_key"), F.xxhash64(text).alias("_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    # joined and grouped by the same columns: one exchange
+    return rows.join(kept, ["_key", "_hash"], "left_semi").groupBy("_key", "_hash").agg(F.first("_row").alias("_row")).select("_row.*")

@@ -154,10 +154,9 @@ def brute_near(docs, shingle, percent=80):
     return {k: (len(s), find(k)) for k, s in sets.items()}
 
 
-@pytest.mark.parametrize("rare", [2, 128])
-def test_near_duplicates_by_brute_force(spark, monkeypatch, rare):
+@pytest.mark.parametrize("turns", [1, 4, 16])
+def test_near_duplicates_by_brute_force(spark, turns):
     """A star of edited copies, chains of small edits, exact copies, short and empty texts."""
-    monkeypatch.setattr(neardup, "RARE", rare)
     rng = random.Random(6)
     vocabulary = [f"w{k}" for k in range(300)]
     base = [rng.choice(vocabulary) for _ in range(90)]
@@ -176,7 +175,7 @@ def test_near_duplicates_by_brute_force(spark, monkeypatch, rare):
     docs = list(zip(rng.sample(range(10_000), len(texts)), texts, strict=True))
     for shingle in (2, 5):
         want = brute_near(docs, shingle)
-        got = {r["doc_id"]: r for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), neardup.Near(shingle=shingle)).collect()}
+        got = {r["doc_id"]: r for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), neardup.Near(shingle=shingle, turns=turns)).collect()}
         assert {k: (r["n_shingles"], r["component_id"]) for k, r in got.items()} == want
         assert all(r["kept"] == (k == r["component_id"]) for k, r in got.items())
 
@@ -190,6 +189,20 @@ def test_near_duplicates_of_odd_tables(spark, odd):
     assert set(one[0].asDict()) == set(odd.columns)
 
 
+def test_one_document_of_each_group_stays(spark):
+    """A smallest key on several texts, a group of null keys only, and repeated rows, still leave one row."""
+    base = [f"w{k}" for k in range(100)]
+    near = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in (0, 99, 98)]
+    rows = [(1, near[0], "a"), (1, near[1], "b"), (2, near[2], "c")]
+    other = [w + "y" for w in base]
+    rows += [(None, " ".join(other), "d"), (None, " ".join(other[:-1]), "e"), (None, " ".join(other), "f")]
+    rows += [(7, "one text of its own", "g"), (7, "one text of its own", "g"), (8, None, "h"), (9, "", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    left = neardup.drop_near_duplicates(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in left) == ["1", "7", "8", "9", "None"]
+    assert all(tuple(r) in rows for r in left)
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 102)], "a long, b long")
     assert {r["node"]: r["label"] for r in neardup.components(links).collect()} == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 101, 102), 100)}
