@@ -35,6 +35,8 @@ from samplewright.llm.shared import written
 from samplewright.llm.words import Piece, mixed
 
 _U = np.uint64
+#: Hashes of one text that are permuted at once.
+MANY = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -78,32 +80,37 @@ class Bands:
         bands = round(near.bands * 2.5**level)
         self.each = self.bins // self.rows  # bands of one permutation
         # row j: the order in which bin j, if it is empty, looks at the others
-        self.order = np.random.default_rng(7).random((self.bins, self.bins)).astype(np.float32)
+        self.order = np.random.default_rng(7).random((self.bins, self.bins)).argsort(axis=1)
         self.seeds = mixed((np.arange(-(-bands // self.each), dtype=_U) + _U(level << 32)) * _U(0x9FB21C651E98DF25))
         self.salt = mixed((np.arange(1, self.seeds.size * self.each + 1, dtype=_U) + _U(level << 32)) * _U(0x9E3779B97F4A7C15)).reshape(self.seeds.size, self.each)
 
     def _mins(self, own: np.ndarray) -> np.ndarray:
-        """One value for each bin; `own` is sorted, so the first hash of a bin is its least."""
-        bins = ((own >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64)
+        """One value for each permutation (row) and bin; rows of `own` are sorted, so the first hash of a bin is its least."""
+        bins = ((own >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64) + np.arange(len(own))[:, None] * self.bins
+        flat, bins = own.ravel(), bins.ravel()
         first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1])))
-        filled = bins[first]
-        values = np.empty(self.bins, _U)
-        values[filled] = own[first]
-        if filled.size < self.bins:
-            empty = np.ones(self.bins, bool)
-            empty[filled] = False
-            holes = np.flatnonzero(empty)
-            values[holes] = own[first][self.order[np.ix_(holes, filled)].argmin(axis=1)]
-        return values
+        values, filled = np.empty(len(own) * self.bins, _U), np.zeros(len(own) * self.bins, bool)
+        values[bins[first]] = flat[first]
+        filled[bins[first]] = True
+        holes, look = np.flatnonzero(~filled), 0
+        while holes.size:
+            bin_ = holes % self.bins
+            at = holes - bin_ + self.order[bin_, look]
+            found = filled[at]
+            values[holes[found]] = values[at[found]]
+            holes, look = holes[~found], look + 1
+        return values.reshape(len(own), self.bins)
 
     def keys(self, own: np.ndarray) -> np.ndarray:
-        out = []
-        for seed, key in zip(self.seeds, self.salt, strict=True):
+        out, together = [], max(1, MANY // own.size)
+        for at in range(0, self.seeds.size, together):
+            seeds, key = self.seeds[at : at + together], self.salt[at : at + together]
             # the first permutation of all is the order of the hashes themselves
-            values = self._mins(own if seed == 0 else np.sort(mixed(own ^ seed)))
-            for column in values[: self.each * self.rows].reshape(self.each, self.rows).T:
-                key = mixed(key * _U(0xD6E8FEB86659FD93) + column)
-            out.append(key)
+            values = self._mins(own[None, :] if seeds.size == 1 and seeds[0] == 0 else np.sort(mixed(own ^ seeds[:, None]), axis=1))
+            values = values[:, : self.each * self.rows].reshape(seeds.size, self.each, self.rows)
+            for row in range(self.rows):
+                key = mixed(key * _U(0xD6E8FEB86659FD93) + values[:, :, row])
+            out.append(key.ravel())
         return np.concatenate(out)
 
 
@@ -221,7 +228,9 @@ def deeper(sets: DataFrame, near: Near, level: int) -> DataFrame:
             keys = [bands.keys(np.sort(np.asarray(x.values).view(_U))).view(np.int64) for x in batch.column("set")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "buckets"])
 
-    return sets.select("node", "set").mapInArrow(keyed, "node binary, buckets array<long>").select("node", F.explode("buckets").alias("bucket"))
+    # an exchange of its own, since the few bytes of a join's result may all be one partition
+    dealt = sets.select("node", "set").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    return dealt.mapInArrow(keyed, "node binary, buckets array<long>").select("node", F.explode("buckets").alias("bucket"))
 
 
 def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -241,7 +250,8 @@ def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFram
         still = written(crowded(large, "open-buckets").select("node").distinct(), "open")
         if still.limit(1).count() == 0:
             break
-        rows = crowded(_labelled(deeper(sets.join(still, "node", "left_semi"), near, level), labels), "buckets")
+        rows = written(deeper(sets.join(still, "node", "left_semi"), near, level), "deeper")
+        rows = crowded(_labelled(rows, labels), "buckets")
         more = written(_linked(confirmed(candidates(rows, near.turns), sets), near.percent), "more-links")
         if more.limit(1).count():
             labels = merged(labels, more)
