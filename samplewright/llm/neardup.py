@@ -6,7 +6,7 @@
    to buckets.
 2. Equal sets are one node. In a bucket of up to `turns` nodes, each node in turn is a
    star's centre for those after it, so that no pair of it is missed. In a larger one
-   only the node that shares most buckets with others is: n - 1 candidates.
+   only the node that comes first in an order of all nodes is: n - 1 candidates.
 3. Candidates are confirmed on the full sets. Connected components follow.
 4. A single star may miss a link between two of its rays. So the nodes of larger buckets
    that still lie in several components go on to the next level: more and longer rows of
@@ -201,15 +201,15 @@ def crowded(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(sized.where("_low <> _high").select("bucket", "size"), "bucket"), name)
 
 
-def candidates(rows: DataFrame, turns: int) -> DataFrame:
+def candidates(rows: DataFrame, turns: int, level: int = 0) -> DataFrame:
     """Pairs (a, b), a < b, of different components, from the rows (node, label, bucket, size) of crowded buckets."""
     small = rows.where(F.col("size") <= turns).groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("all"))
     # `turns` entries at most
     rays = lambda x: F.transform(F.filter("all", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
     by_turns = small.select(F.explode(F.flatten(F.transform("all", rays))).alias("p")).select("p.*")
     large = rows.where(F.col("size") > turns)
-    weight = large.groupBy("node").agg(F.sum("size").alias("weight"))
-    centres = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "label")).alias("_c"))
+    # one order of all nodes, so that buckets of a level share centres and their pairs; another at each level
+    centres = large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("order"), "node", "label")).alias("_c"))
     stars = large.join(centres, "bucket").where(F.col("label") != F.col("_c.label"))
     stars = stars.select(F.least("node", "_c.node").alias("a"), F.greatest("node", "_c.node").alias("b"))
     return by_turns.union(stars).distinct()
@@ -252,7 +252,7 @@ def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFram
             break
         rows = written(deeper(sets.join(still, "node", "left_semi"), near, level), "deeper")
         rows = crowded(_labelled(rows, labels), "buckets")
-        more = written(_linked(confirmed(candidates(rows, near.turns), sets), near.percent), "more-links")
+        more = written(_linked(confirmed(candidates(rows, near.turns, level), sets), near.percent), "more-links")
         if more.limit(1).count():
             labels = merged(labels, more)
     return signed, _labelled(nodes.select("node", "key", "text_hash"), labels)
