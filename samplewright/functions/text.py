@@ -21,11 +21,8 @@ def has_suffix(c: Column, suffixes: tuple[str, ...]) -> Column:
 
 def last_suffixes(path: Column) -> Column:
     """The last two suffixes of a path's file name; a name's leading dots aren't suffixes, and a final dot leaves none."""
-    name = F.regexp_replace(F.regexp_replace(path, r"/+$", ""), r"^.*/", "")
-    parts = F.split(F.regexp_replace(name, r"^\.+", ""), r"\.")
-    count = F.least(F.size(parts) - 1, F.lit(2))
-    last = F.array_join(F.transform(F.slice(parts, F.size(parts) - count + 1, count), lambda p: F.concat(F.lit("."), p)), "")
-    return F.when(F.endswith(name, F.lit(".")), "").otherwise(last)
+    # the name without leading dots, then one or two suffixes that aren't empty at the end, whatever stands after the name's slashes
+    return F.regexp_extract(path, r"(?:^|/)\.*[^./][^/]*?((?:\.[^./]*){0,1}\.[^./]+)/*\z", 1)
 
 
 def last_part(c: Column, sep: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def attribute(df: DataFrame, key: str, catalogue: DataFrame, name: str, attr: str) -> DataFrame:
@@ -40,6 +41,13 @@ def overlay(*layers: DataFrame) -> DataFrame:
     return ranked.groupBy("name").agg(F.max_by("value", "_layer").alias("value"))
 
 
-def leaves(errors: Column) -> Column:
-    """The leaf messages of errors with causes, two levels deep: an error without causes is a leaf itself."""
-    return F.flatten(F.transform(errors, lambda e: F.when(F.size(e["causes"]) > 0, F.transform(e["causes"], lambda c: c["message"])).otherwise(F.array(e["message"]))))
+def leaves(errors: Column, kind: T.ArrayType) -> Column:
+    """The leaf messages of nested errors, in order, at any depth that the column's type has.
+
+    kind: the type of `errors`, an array of struct<message, causes: the same again>. An
+    error with no or null causes is a leaf itself; null errors give null.
+    """
+    inner = next((f.dataType for f in kind.elementType.fields if f.name == "causes"), None)
+    if inner is None:
+        return F.transform(errors, lambda e: e["message"])
+    return F.flatten(F.transform(errors, lambda e: F.when(F.coalesce(F.size(e["causes"]), F.lit(0)) > 0, leaves(e["causes"], inner)).otherwise(F.array(e["message"]))))

@@ -72,18 +72,21 @@ def constant_optional_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.mix(given, constant, flow.optional(None, spark, name))
 
 
-@query("SELECT embedding[1:2] AS head FROM embeddings WHERE label = 3")
+@query("SELECT embedding AS reads FROM embeddings")
 def tuple_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").where("label = 3").select(F.struct("vec_id").alias("meta"), F.slice("embedding", 1, 2).alias("head"))
-    return flow.project(rows, "head")
+    rows = table(spark, sf_dir, "embeddings").select(F.struct("vec_id").alias("meta"), F.col("embedding").alias("reads"))
+    return flow.project(rows, "reads")
 
 
 @query("""SELECT s.s_suppkey, r.r_name AS region FROM supplier s LEFT JOIN (
-  SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20) r ON s.s_nationkey = r.n_nationkey""")
+  SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) r
+  ON r.n_nationkey = CASE WHEN s.s_suppkey % 10 = 0 THEN s.s_nationkey + 1000 ELSE s.s_nationkey END""")
 def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).where("n_nationkey < 20")
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     known = nations.select(F.col("n_nationkey").alias("key"), F.lit("region").alias("attr"), F.col("r_name").alias("value"))
-    return lookup.attribute(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "s_nationkey", known, "region", "region").select("s_suppkey", "region")
+    # every tenth supplier asks for a key that the catalogue lacks
+    asked = F.when(F.col("s_suppkey") % 10 == 0, F.col("s_nationkey") + 1000).otherwise(F.col("s_nationkey"))
+    return lookup.attribute(table(spark, sf_dir, "supplier").select("s_suppkey", asked.alias("asked")), "asked", known, "region", "region").select("s_suppkey", "region")
 
 
 def _genome_sql() -> str:
@@ -142,12 +145,17 @@ def map_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.overlay(base, vip, table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.lit("supplier").alias("value")))
 
 
-@query("SELECT conv_id, CASE WHEN length(text) % 2 = 0 THEN [role || ': ' || turn] ELSE [role] END AS messages FROM conversations")
+@query("SELECT conv_id, turn, [role || ':' || (length(text) % 5), role || ' ' || turn] AS messages FROM conversations")
 def error_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cause = F.struct(F.concat("role", F.lit(": "), "turn").alias("message"))
-    none = F.array().cast("array<struct<message:string>>")
-    error = F.struct(F.col("role").alias("message"), F.when(F.length("text") % 2 == 0, F.array(cause)).otherwise(none).alias("causes"))
-    return table(spark, sf_dir, "conversations").select("conv_id", lookup.leaves(F.array(error)).alias("messages"))
+    """Each message is an error with a chain of up to four causes, beside one without any."""
+    kind, made = "struct<message:string>", F.struct(F.concat("role", F.lit(":4")).alias("message"))
+    depth = F.length("text") % 5
+    for level in (3, 2, 1, 0):
+        causes = F.when(depth > level, F.array(made)).otherwise(F.array().cast(f"array<{kind}>"))
+        made, kind = F.struct(F.concat("role", F.lit(f":{level}")).alias("message"), causes.alias("causes")), f"struct<message:string,causes:array<{kind}>>"
+    plain = F.struct(F.concat("role", F.lit(" "), "turn").alias("message"), F.array().cast(kind.removeprefix("struct<message:string,causes:").removesuffix(">")).alias("causes"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array(made, plain).alias("errors"))
+    return rows.select("conv_id", "turn", lookup.leaves(F.col("errors"), rows.schema["errors"].dataType).alias("messages"))
 
 
 @query("SELECT p_brand, [t for t in ['a', 'b', 'c'] if NOT list_contains(list(DISTINCT lower(left(p_type, 1))), t)] AS missing FROM part GROUP BY p_brand")

@@ -69,11 +69,15 @@ def suffix_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url", X.has_suffix(F.col("url"), (".html", "/")).alias("fits"))
 
 
-@query(f"""WITH {_EVENT_SHEET} SELECT line_no, regexp_extract(fastq_1, '(\\.[^.]+\\.[^.]+)$', 1) AS suffix_1, regexp_extract(fastq_2, '(\\.[^.]+\\.[^.]+)$', 1) AS suffix_2
-FROM sheet WHERE suffix(fastq_1, '.gz') AND suffix(fastq_2, '.gz')""")
+def _suffixes_sql(path: str) -> str:
+    name = f"regexp_replace(rtrim({path}, '/'), '^.*/', '')"
+    parts = f"string_split(ltrim({name}, '.'), '.')"
+    return f"CASE WHEN suffix({name}, '.') THEN '' ELSE coalesce('.' || nullif(array_to_string({parts}[greatest(2, len({parts}) - 1):], '.'), ''), '') END"
+
+
+@query(f"""WITH {_EVENT_SHEET} SELECT line_no, {_suffixes_sql("fastq_1")} AS suffix_1, {_suffixes_sql("fastq_2")} AS suffix_2 FROM sheet""")
 def pair_suffix_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = event_sheet(spark, sf_dir).where(F.endswith("fastq_1", F.lit(".gz")) & F.endswith("fastq_2", F.lit(".gz")))
-    return rows.select("line_no", X.last_suffixes(F.col("fastq_1")).alias("suffix_1"), X.last_suffixes(F.col("fastq_2")).alias("suffix_2"))
+    return event_sheet(spark, sf_dir).select("line_no", X.last_suffixes(F.col("fastq_1")).alias("suffix_1"), X.last_suffixes(F.col("fastq_2")).alias("suffix_2"))
 
 
 @query("SELECT name, false AS present FROM (VALUES ('sample'), ('fastq_1'), ('fastq_2')) t(name) UNION ALL SELECT 'event_id', true")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplewright.operators import params
@@ -76,7 +76,18 @@ def require(spark: SparkSession, *paths: str | None) -> None:
             raise FileNotFoundError(path)
 
 
+def whole_path(path: Column, folder: str = "") -> Column:
+    """A path as the listings give it, but without its scheme and repeated slashes; a relative one is below `folder`."""
+    absolute = F.regexp_like(path, F.lit(r"^([A-Za-z][A-Za-z0-9+.-]*:/|/)"))
+    placed = F.when(absolute, path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path)) if folder else path
+    plain = F.regexp_replace(placed, r"^[A-Za-z][A-Za-z0-9+.-]*:(?=/)", "")
+    return F.regexp_replace(F.regexp_replace(plain, r"/(\./)+", "/"), r"/{2,}", "/")
+
+
 def missing_files(rows: DataFrame, column: str, folder: str) -> DataFrame:
-    """Rows whose file isn't in the folder; the listing is Spark's and only names and paths are read."""
-    listed = rows.sparkSession.read.format("binaryFile").load(folder).select(F.regexp_replace("path", r"^.*/", "").alias("_there"))
-    return rows.join(listed, F.regexp_replace(column, r"^.*/", "") == F.col("_there"), "left_anti")
+    """Rows whose file isn't in the folder or below it, by whole path; relative paths are below the folder.
+
+    The listing is Spark's and reads no contents. Null paths count as missing.
+    """
+    listed = rows.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return rows.join(listed.select(whole_path(F.col("path")).alias("_there")), whole_path(F.col(column), folder) == F.col("_there"), "left_anti")
