@@ -51,6 +51,8 @@ class Band:
     short: int = 64
 
 
+#: For a text of a language and script without a band: no limit.
+OPEN = Band(0.0, math.inf, 1.0, 0.0)
 #: By language code, then by script ("latin", "other"): what the text is taken for if its language has no band.
 #: Lower edges of the four languages: the 0.5 % quantile of clean texts by their length (labelled documents of
 #: sf0.1 that aren't held out), and for the spread not above 0.78, 0.775, 0.765 at the first three, as in pieces
@@ -183,8 +185,9 @@ def judge_texts(docs: DataFrame, model_file: str, key: str = "doc_id", text: str
     than 10 words, or over 20 % of them repeated. kept: not base_failed and within the
     band of the language, or of the script if the language is null or unknown.
 
-    Null and empty texts count as texts without words, and fail. A text is measured
-    whole; its memory is a few times its own length. Columns other than key, text and
+    With neither band, only the base rules hold. Null and empty texts count as texts
+    without words, and fail. Repeated rows are judged alike, each a row. A text is measured
+    whole; a task needs about 100 bytes for each of a text's. Columns other than key, text and
     lang aren't read. An empty table gives no rows. `model_file` is a path that the
     executors can open, or the name of a file added with SparkContext.addFile.
     """
@@ -202,7 +205,7 @@ def judge_texts(docs: DataFrame, model_file: str, key: str = "doc_id", text: str
             rows = []
             for k, (body, code) in enumerate(zip(texts, piece.column("lang").to_pylist(), strict=True)):
                 measured = fertility.measure(places[words.first[k] : words.first[k + 1]], int(counts["word_chars"][k]))
-                band = limits.get(code) if code in limits else limits[script_of(body)]
+                band = limits.get(code) or limits.get(script_of(body), OPEN)
                 rows.append((*measured, bool(failed[k]), not failed[k] and within(band, *measured)))
             out = {**counts, **dict(zip(("n_tokens", *_SHARES, "base_failed", "kept"), zip(*rows, strict=True), strict=True))}
             types = [pa.int64()] * len(_COUNTS) + [pa.float64()] * len(_SHARES) + [pa.bool_()] * 2

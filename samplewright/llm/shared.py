@@ -2,7 +2,7 @@
 
 A lineage is cut by writing Parquet under ``spark.checkpoint.dir`` and reading it
 again: such files outlive any executor. The setting is read from the session; a
-local folder is taken only where it is unset, as in tests on one machine.
+local folder is taken only where it is unset and the master is local, as in tests.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         place = known.get() if known.isDefined() else None
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="samplewright-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
@@ -48,15 +50,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def count_written() -> int:
+    """How many tables `written` has made and not deleted; what `drop_written` takes."""
+    return len(_WRITTEN)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @atexit.register
-def drop_written() -> None:
-    """Delete what `written` has made; results that still read it can't be used afterwards."""
-    while _WRITTEN:
+def drop_written(since: int = 0) -> None:
+    """Delete what `written` has made, all or from its so-manieth table on; results that still read it can't be used afterwards."""
+    while len(_WRITTEN) > since:
         spark, path = _WRITTEN.pop()
         if spark.sparkContext._jsc is not None:
             try:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +27,8 @@ MARK = "▁"
 LITERAL_MARK = "\ud800"
 #: Words whose ids are kept from one piece of a batch to the next: about 200 bytes each.
 CACHE_WORDS = 200_000
+#: Longer words keep their forward scores packed, 16 bytes a character, and texts are decoded so many ids at once.
+LONG_WORD = 1 << 16
 MILLION = 1_000_000
 
 
@@ -73,6 +76,8 @@ class Vocabulary:
         ends, unknown = self.ends, self.unknown
         # for each prefix of the word before: score, length and id of its last piece (-1: bytes)
         score, size, last = [0], [0], [0]
+        if any(len(word) > LONG_WORD for word in words):
+            score, size, last = array("q", score), array("i", size), array("i", last)
         previous, out = "", []
         for word in words:
             shared = 0
@@ -110,10 +115,26 @@ class Vocabulary:
             previous = word
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The text's bytes; the first word's mark stands for no space."""
+    def decode(self, ids: list[int]) -> bytes | None:
+        """The text's bytes; the first word's mark stands for no space. None for a null or unknown id."""
         table = self.piece_bytes
-        return b"".join([table[i] for i in ids])[1:]
+        try:
+            if ids and min(ids) < 0:
+                return None
+            return b"".join([table[i] for i in ids])[1:]
+        except (IndexError, TypeError):
+            return None
+
+    def returns(self, ids: np.ndarray, text: bytes) -> bool:
+        """Whether the ids decode to the text, in parts."""
+        table, at = self.piece_bytes, -1
+        for start in range(0, len(ids), LONG_WORD):
+            part = b"".join([table[i] for i in ids[start : start + LONG_WORD].tolist()])
+            part, at = (part[1:], 0) if at < 0 else (part, at)
+            if text[at : at + len(part)] != part:
+                return False
+            at += len(part)
+        return max(at, 0) == len(text)
 
 
 _UNIT = re.compile(" +[^ ]*")
@@ -136,9 +157,9 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known = {w: self.known[w] for w in words if w in self.known}
-        new = sorted(MARK + w.replace(" ", MARK) for w in words if w not in self.known)
+        new = sorted((len(w) > LONG_WORD, MARK + w.replace(" ", MARK)) for w in words if w not in self.known)
         for k in range(0, len(new), 10_000):  # so that lists of ids don't pile up
-            some = new[k : k + 10_000]
+            some = [w for _, w in new[k : k + 10_000]]
             self.known.update((w[1:].replace(MARK, " "), np.array(ids, np.int32).tobytes()) for w, ids in zip(some, self.vocabulary.encode_sorted(some), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -157,22 +178,25 @@ def encode_texts(docs: DataFrame, model_file: str, key: str = "doc_id", text: st
     """One row for each document: key, ids, n_tokens, round_trip (the ids decode to exactly the text).
 
     Null texts have null ids, empty ones none; both have 0 tokens and round_trip true. A
-    literal U+2581 becomes its three bytes, so that every text returns exactly. Texts
-    are encoded whole; memory is a few times the longest. Other columns aren't read.
+    literal U+2581 becomes its three bytes, so that every text returns exactly. Of equally
+    good ways to cut a word, the one with the longer last piece is taken. Repeated rows are
+    encoded alike, each a row; an empty table gives none. Texts are encoded whole; memory
+    is a few times the longest, some 40 times for one without spaces. Other columns
+    aren't read.
     `model_file` is a path that the executors can open, or the name of a file added with
     SparkContext.addFile.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model_file, scores)
-        decode = encoder.vocabulary.decode
+        returns = encoder.vocabulary.returns
         for piece in pieces(batches, "text"):
             texts = piece.column("text").to_pylist()
             packed = encoder.encode(texts)
             ids = np.frombuffer(b"".join(packed), np.int32)
             counts = np.array([len(x) // 4 for x in packed], np.int64)
             edges = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            whole = [not x or decode(ids[a:b].tolist()) == x.encode() for x, a, b in zip(texts, edges[:-1], edges[1:], strict=True)]
+            whole = [not x or returns(ids[a:b], x.encode()) for x, a, b in zip(texts, edges[:-1], edges[1:], strict=True)]
             empty = pa.array([x is None for x in texts] + [False])
             offsets = pa.array(edges, pa.int32(), mask=np.asarray(empty))
             yield pa.RecordBatch.from_arrays([piece.column("key"), pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(counts), pa.array(whole)], names=["key", "ids", "n_tokens", "round_trip"])
@@ -182,12 +206,17 @@ def encode_texts(docs: DataFrame, model_file: str, key: str = "doc_id", text: st
 
 
 def decode_ids(encoded: DataFrame, model_file: str, key: str = "doc_id", ids: str = "ids", scores: str = "rank") -> DataFrame:
-    """key and text of each row of ids; null for null ids, empty for none. Ids that aren't in the vocabulary are an error."""
+    """key and text of each row of ids; null for null ids, empty for none.
+
+    A row with a null or negative id, or one beyond the vocabulary, has a null text.
+    Repeated rows are decoded alike; an empty table gives no rows; other columns aren't read.
+    """
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = _encoder(model_file, scores).vocabulary.decode
         for batch in batches:
-            texts = [None if x is None else decode(x).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
+            bodies = [None if x is None else decode(x) for x in batch.column("ids").to_pylist()]
+            texts = [None if x is None else x.decode("utf-8", "replace") for x in bodies]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())], names=["key", "text"])
 
     slim = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))

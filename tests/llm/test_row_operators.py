@@ -133,6 +133,18 @@ def test_url_rules_by_brute_force(spark, most):
     assert urltrie.judge_urls(df.limit(0), rules, broadcast_rules=most).count() == 0
 
 
+def test_url_rules_with_nulls_capitals_and_many_ends(spark):
+    rules = [("Ä.Example", "/a", "allow"), (None, "/", "block"), ("example", None, "block"), ("b.org", "/X", "allow"), ("B.org", "/X", "allow")]
+    rules += [("many.org", "/p" + "q" * k, "block" if k % 2 else "allow") for k in range(300)]
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    urls = ["http://ä.example/a", "http://Ä.example/abc", "http://example/", "http://B.ORG/Xy", *(f"http://www.many.org/p{'q' * k}r" for k in (0, 1, 2, 299, 400))]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    by_trie = sorted(map(tuple, urltrie.judge_urls(pages, table).collect()))
+    assert by_trie == sorted(map(tuple, urltrie.judge_urls(pages, table, broadcast_rules=1).collect()))
+    assert [r[3] for r in by_trie] == [None, "Ä.Example/a", None, "B.org/X", *("many.org/p" + "q" * k for k in (0, 1, 2, 299, 299))]
+    assert all(r[3] is None for r in urltrie.judge_urls(pages, table.limit(0)).collect())
+
+
 def brute_near(docs, shingle, percent=80):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}

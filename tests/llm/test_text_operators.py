@@ -98,6 +98,21 @@ def test_encoding_round_trip(spark, odd):
     assert decoded == {k: t for k, t, _ in ODD}
 
 
+def test_long_words_and_odd_ids(spark, monkeypatch):
+    """A word of a million characters, and ids that no text gives."""
+    text = "xyz" * 350_000 + "é end"
+    rows = spm.encode_texts(spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string"), MODEL)
+    assert all(r["round_trip"] for r in rows.collect())
+    size = len(spm.Vocabulary(MODEL).piece_bytes)
+    odd = spark.createDataFrame([(1, [-1, -2]), (2, [300, None]), (3, [size]), (4, []), (5, None)], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in spm.decode_ids(odd, MODEL).collect()} == {1: None, 2: None, 3: None, 4: "", 5: None}
+    words = sorted(spm.MARK + w for w in ("hello", "help", "xyzxyz", "é"))
+    plain = spm.Vocabulary(MODEL).encode_sorted(words)
+    monkeypatch.setattr(spm, "LONG_WORD", 3)
+    assert spm.Vocabulary(MODEL).encode_sorted(words) == plain
+    assert all(r["round_trip"] for r in spm.encode_texts(rows.select("doc_id", F.lit("hello help é xyz  a").alias("text")), MODEL).collect())
+
+
 def brute_viterbi(vocabulary, word):
     """Best total score over all ways to cut a word."""
     best = [0] + [-math.inf] * len(word)
@@ -228,6 +243,35 @@ def test_classifier_on_held_out_documents(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
 
 
+def test_votes_by_brute_force(spark):
+    """Each document's vote, from plain cosines with all labelled vectors of the space, one text at a time."""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    labels = queries.quality_labels(spark, "/root/testdata/sf0.01")
+    space = neighbours.Space()
+    model = neighbours.fitted(docs, labels, space, "doc_id", "text")
+    texts = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+    kept = sorted(r["doc_id"] for r in labels.collect())
+    marked = {r["doc_id"]: r["label"] for r in labels.collect()}
+    assert model.labels.tolist() == [marked[k] for k in kept]
+
+    def vector(text):
+        row = neighbours.raw_features([text], space.terms)[0].astype(float) * model.idf
+        parts = [row[: space.terms], row[space.terms :]]
+        parts = [p / max(np.linalg.norm(p), 1e-12) for p in parts]
+        v = np.concatenate([parts[0], space.classes * parts[1]]) @ model.axes
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    known = [vector(texts[k]) for k in kept]
+    rows = {r["doc_id"]: r for r in neighbours.score_texts(docs, labels).collect()}
+    assert set(rows) == set(texts)
+    for key in sorted(texts)[::3]:
+        v = vector(texts[key])
+        best = sorted(((round(float(v @ u), 9), -i) for i, u in enumerate(known)), reverse=True)[: space.k]
+        weights = [max(c, 0) ** space.power for c, _ in best]
+        want = sum(w * marked[kept[-i]] for w, (_, i) in zip(weights, best, strict=True)) / sum(weights)
+        assert rows[key]["score"] == pytest.approx(want, abs=1e-6)
+
+
 def test_classifier_of_odd_tables(spark, odd):
     labels = spark.createDataFrame([(1, 1), (1, 1), (5, 0), (7, 0), (None, 1), (99, 1)], "doc_id long, label int")
     rows = neighbours.score_texts(odd, labels).collect()
