@@ -1,9 +1,11 @@
-"""License scans: an index of the templates' shingles retrieves templates, containment verifies at every place.
-
-A text can hold a template's share in some window only if all of it holds as many of
-its shingles, so counting those retrieves every template that can be found. Containment
-is then the best of all windows of a template's size and a quarter, one from each
-shingle on: exact, with no chance of a loss.
+"""License scans: MinHash bands over overlapping windows retrieve templates, containment verifies at every place.
+
+Only shingles of some template can match, so windows are sets of these, for templates
+of like size together. Windows of a template's size and a half stand a quarter of it
+apart, so one of them holds any place that a template may take whole. There the two sets share 0.47 or more of their union,
+and none of 50 bands of two MinHashes agrees with a chance of 4e-6. A template with a
+band in common is verified on the whole text: its containment is that of the best of all
+windows of its size and a quarter, one from each shingle on.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplewright.llm.arrow import as_bytes, pieces
-from samplewright.llm.words import SPACES, Piece, shingle_hashes, word_hashes
+from samplewright.llm.words import SPACES, Piece, mixed, shingle_hashes, word_hashes
 
 _U = np.uint64
 
@@ -119,11 +121,18 @@ def kept_words(text: bytes) -> list[int]:
 
 @dataclass(frozen=True)
 class Scan:
-    """Words of a shingle, least containment, and whether words are taken bare of punctuation (see `plain`)."""
+    """Words of a shingle, least containment, whether words are taken bare of punctuation (see `plain`), bands and rows."""
 
     shingle: int = 5
     containment: float = 0.8
     bare: bool = False
+    bands: int = 50
+    rows: int = 2
+
+
+#: Windows whose MinHashes are made at once, and shingles at most of them together.
+TOGETHER = 512
+MANY = 1 << 16
 
 
 class Templates:
@@ -134,15 +143,18 @@ class Templates:
         sets = [np.unique(self._shingles(t.encode())) for t in templates.values()]
         self.sizes = np.array([x.size for x in sets], np.int64)
         self.words = [len(t.encode().split()) for t in templates.values()]
-        flat = np.concatenate([np.empty(0, _U), *sets])
-        order = np.argsort(flat, kind="stable")
-        #: each shingle of any template, and where its templates begin and end in `owners`
-        self.every, self.first = np.unique(flat[order], return_index=True)
-        self.end = np.append(self.first[1:], flat.size) if flat.size else self.first
-        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
-        shingle = np.repeat(np.arange(self.every.size), self.end - self.first)
-        #: each template's shingles, as places in `every`
-        self.members = np.split(shingle[np.argsort(self.owners, kind="stable")], np.cumsum(self.sizes)[:-1])
+        #: each shingle of any template, and each template's shingles as places in it
+        self.every = np.unique(np.concatenate([np.empty(0, _U), *sets]))
+        self.members = [np.searchsorted(self.every, x) for x in sets]
+        #: the place of each of `every` in each permutation, and each template's MinHashes
+        seeds = mixed(np.arange(1, scan.bands * scan.rows + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+        self.ranks = np.array([(mixed(self.every ^ s) >> _U(32)).astype(np.uint32) for s in seeds]).reshape(seeds.size, -1)
+        self.signs = np.array([self.ranks[:, m].min(axis=1) for m in self.members], np.uint32).reshape(len(sets), seeds.size)
+        #: templates of like size: from a power of 1.25 to the next
+        power = np.floor(np.log(np.maximum(self.sizes, 1)) / np.log(1.25)).astype(np.int64)
+        self.alike = [np.flatnonzero(power == p) for p in np.unique(power)]
+        #: for each of these groups, which of `every` its templates hold
+        self.of_alike = [np.isin(np.arange(self.every.size), np.concatenate([self.members[t] for t in alike])) for alike in self.alike]
 
     def _shingles(self, text: bytes) -> np.ndarray:
         words = word_hashes(plain(text) if self.scan.bare else text, fold=True)
@@ -157,18 +169,46 @@ class Templates:
         place = np.minimum(np.searchsorted(self.every, runs), self.every.size - 1)
         return place, self.every[place] == runs
 
+    def retrieved(self, at: np.ndarray, which: np.ndarray) -> list[int]:
+        """The templates of which a window of the text has a band; parameters as in `scan_text`."""
+        out: set[int] = set()
+        all_at, all_which = at, which
+        for alike, members in zip(self.alike, self.of_alike, strict=True):
+            own = members[all_which]
+            at, which = all_at[own], all_which[own]
+            least, most = int(self.sizes[alike].min()), int(self.sizes[alike].max())
+            step = 1 + least // 4
+            # the window at the grid's place before a shingle reaches a whole template and a quarter beyond it
+            start = np.unique(at // step) * step
+            low, high = np.searchsorted(at, start), np.searchsorted(at, start + most + most // 4 + step)
+            full = high - low >= self.scan.containment * least
+            low, high = low[full], high[full]
+            signs = self.signs[alike].reshape(len(alike), self.scan.bands, self.scan.rows)
+            k = 0
+            while k < low.size:
+                end = min(k + TOGETHER, low.size)
+                while end > k + 1 and high[end - 1] - low[k] > MANY:
+                    end = k + (end - k) // 2
+                first, last = int(low[k]), int(high[end - 1])
+                # one more column, so that the last window's end is a place too
+                ranks = np.pad(self.ranks[:, which[first:last]], ((0, 0), (0, 1)))
+                edges = np.stack([low[k:end], high[k:end]], axis=1).ravel() - first
+                mins = np.minimum.reduceat(ranks, edges, axis=1)[:, ::2].T.reshape(-1, 1, self.scan.bands, self.scan.rows)
+                hit = (mins == signs).all(axis=3).any(axis=(0, 2))
+                out.update(alike[hit].tolist())
+                k = end
+        return sorted(out)
+
     def scan_text(self, at: np.ndarray, which: np.ndarray) -> list[tuple[int, float, int]]:
         """(template, containment, first shingle) of the best window of each template found in a text.
 
         at: the places of its shingles that are known, rising; which: each one's place in `every`.
         """
-        distinct = np.unique(which)
-        counts = self.end[distinct] - self.first[distinct]
-        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        held = np.bincount(self.owners[np.repeat(self.first[distinct], counts) + inside], minlength=self.sizes.size)
         found = []
-        for template in np.flatnonzero((held > 0) & (held >= self.scan.containment * self.sizes - 1)).tolist():
+        for template in self.retrieved(at, which):
             own = np.isin(which, self.members[template])
+            if not own.any():  # ranks of 32 bits may agree by chance
+                continue
             size = int(self.sizes[template])
             count, first = _most_distinct(at[own], which[own], size + size // 4)
             if count / size >= self.scan.containment:
@@ -209,8 +249,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, scan
     by ASCII white space and A-Z count as a-z; with `scan.bare`, punctuation around words
     doesn't count (see `plain`), in texts and templates alike. first_word: the place, from 0, of the
     first word matched; n_words: those of the template; both count the words as written.
-    Null, empty and short texts give no rows; repeated rows each give theirs. Texts are
-    scanned whole; other columns aren't read. The templates, NOTICES by default, are
+    Of equally good windows the earliest counts. Null, empty and short texts give no rows,
+    nor does an empty table; repeated rows each give theirs. Texts are scanned whole, with
+    about a hundred bytes of memory for each of theirs; other columns aren't read. The templates, NOTICES by default, are
     broadcast with the function.
     """
     known = Templates(NOTICES if templates is None else templates, scan)
