@@ -6,11 +6,18 @@ per-base qualities. Positions count from 1.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: More adapters than that are no panel: they'd be broadcast against every read.
 MOST_ADAPTERS = 10_000
+#: Positions that are counted together, and how many such blocks a task keeps before it passes them on.
+BLOCK = 4096
+MOST_BLOCKS = 256
 
 
 def phred(quality: Column, offset: int = 33) -> Column:
@@ -37,9 +44,46 @@ def by_position(reads: DataFrame, by: str, scores: str) -> DataFrame:
 
 
 def composition(reads: DataFrame, by: str, seq: str, letters: tuple[str, ...] = ("A", "C", "G", "T")) -> DataFrame:
-    """by, pos, n and the number of reads with each letter there (`n_<letter>`), in one aggregation."""
-    each = reads.select(by, F.posexplode(F.split(seq, "")).alias("at", "b"))
-    return each.groupBy(by, (F.col("at") + 1).alias("pos")).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.upper("b") == x).alias(f"n_{x}") for x in letters])
+    """by, pos, n and the number of reads with each letter there, in either case (`n_<letter>`).
+
+    A task counts whole blocks of positions of a group before anything is shuffled, so a
+    character is never a row. Null sequences count nowhere.
+    """
+    codes = [(ord(x.upper()), ord(x.lower())) for x in letters]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[tuple, np.ndarray] = {}
+
+        def given() -> pa.RecordBatch:
+            groups, blocks = ([k[i] for k in kept] for i in (0, 1))
+            sums = [v[:, : v[0].argmin() if v[0].min() == 0 else BLOCK] for v in kept.values()]
+            columns = [pa.array([v[i] for v in sums], pa.list_(pa.int64())) for i in range(len(codes) + 1)]
+            out = pa.RecordBatch.from_arrays([pa.array(groups, kind), pa.array(blocks, pa.int64()), *columns], names=["_by", "_block", "n", *names])
+            kept.clear()
+            return out
+
+        for batch in batches:
+            kind = batch.schema.field("_by").type
+            for group, text in zip(batch.column("_by").to_pylist(), batch.column("_s").to_pylist(), strict=True):
+                points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+                for block, at in enumerate(range(0, points.size, BLOCK)):
+                    part = points[at : at + BLOCK]
+                    sums = kept.setdefault((group, block), np.zeros((len(codes) + 1, BLOCK), np.int64))
+                    sums[0, : part.size] += 1
+                    for row, (upper, lower) in enumerate(codes, 1):
+                        sums[row, : part.size] += (part == upper) | (part == lower)
+                    if len(kept) >= MOST_BLOCKS:
+                        yield given()
+        if kept:
+            yield given()
+
+    names = [f"n_{x}" for x in letters]
+    slim = reads.select(F.col(by).alias("_by"), F.col(seq).alias("_s"))
+    lists = ", ".join(f"{c} array<long>" for c in ["n", *names])
+    parts = slim.mapInArrow(counted, f"_by {slim.schema['_by'].dataType.simpleString()}, _block long, {lists}")
+    each = parts.select("_by", "_block", F.posexplode(F.arrays_zip("n", *names)).alias("_at", "_c"))
+    rows = each.groupBy("_by", (F.col("_block") * BLOCK + F.col("_at") + 1).cast("int").alias("pos"))
+    return rows.agg(*[F.sum(f"_c.{c}").alias(c) for c in ["n", *names]]).withColumnRenamed("_by", by)
 
 
 def adapter_content(reads: DataFrame, by: str, seq: str, panel: DataFrame, adapter_id: str, adapter: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplewright.operators import quality as Q
+from samplewright.operators import render
 from samplewright.plans.base import query, table
 from samplewright.sources import fastq
 
@@ -59,3 +60,10 @@ def fastq_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = Q.phred(F.col("qual"))
     mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(scores)
     return reads.select("read_id", F.regexp_extract("file", r"^(\d)", 1).cast("int").alias("mate"), F.length("seq").alias("n_bases"), mean.alias("mean_q"))
+
+
+@query("""SELECT source AS sample, 'reads' AS metric, NULL::DOUBLE AS at, count(*)::DOUBLE AS value FROM documents GROUP BY source
+UNION ALL SELECT label::VARCHAR, 'mean_score', pos::DOUBLE, round(avg(q::DOUBLE), 9) FROM (SELECT label, unnest(embedding) AS q, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY label, pos""")
+def qc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = Q.by_position(table(spark, sf_dir, "embeddings"), "label", "embedding").withColumn("mean_q", F.round("mean_q", 9))
+    return render.long_metrics((Q.counts(table(spark, sf_dir, "documents"), "source"), "source", "reads", None, "n_reads"), (scores, "label", "mean_score", "pos", "mean_q"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samplewright.functions import text as X
-from samplewright.operators import policy, report
+from samplewright.operators import policy, render, report
 from samplewright.operators import versions as V
 from samplewright.plans.base import query, table
 
@@ -123,7 +123,7 @@ def short_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", X.version_tag(version, F.md5("p_name")).alias("tag"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'a@x.org' WHEN o_orderstatus = 'F' THEN 'b@x.org' END AS recipient, CASE WHEN o_orderstatus <> 'F' AND o_custkey % 5 = 0 THEN 'completed successfully' WHEN o_orderstatus <> 'F' THEN 'completed successfully, but with errored process(es)' ELSE 'completed with errors' END AS summary,
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'a@x.org' WHEN o_orderstatus = 'F' THEN 'b@x.org' END AS recipient, CASE WHEN o_orderstatus <> 'F' AND o_custkey % 5 = 0 THEN 'run finished' WHEN o_orderstatus <> 'F' THEN 'run finished, some tasks failed and were ignored' ELSE 'run failed' END AS summary,
 CASE WHEN o_custkey % 3 = 0 THEN o_totalprice <= 100000 ELSE o_totalprice < 100000 END AS attached, CASE WHEN o_custkey % 7 = 0 THEN 'slack' ELSE 'card' END AS payload FROM orders""")
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, success = F.col("o_custkey"), F.col("o_orderstatus") != "F"
@@ -170,3 +170,33 @@ def help_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cloud = F.contains("url", F.lit("blog"))
     return table(spark, sf_dir, "pages").select("page_id", (~cloud | F.contains("url", F.lit("https:"))).alias("cloud_ok"), (~cloud & (F.col("page_id") % 3 <= 1)).alias("config_warning"))
+
+
+def _yaml_sql(name: str) -> str:
+    return f"CASE WHEN regexp_matches({name}, '^[A-Za-z_][A-Za-z0-9_./+-]*$') THEN {name} ELSE chr(39) || {name} || chr(39) END"
+
+
+@query(f"""WITH named AS (SELECT {_yaml_sql("r_name")} AS r_name, n_name, {_yaml_sql("n_name")} AS tool, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT r_name, r_name || ':' || chr(10) || string_agg('  ' || tool || ': ' || chr(39) || n_nationkey || chr(39), chr(10) ORDER BY n_name) AS body FROM named GROUP BY r_name""")
+def version_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _nations(spark, sf_dir).withColumn("version", F.col("n_nationkey").cast("string"))
+    return render.version_documents(rows, "r_name", "n_name", "version").withColumn("r_name", render.yaml_scalar(F.col("r_name")))
+
+
+@query(f"""SELECT r_name, '<tbody>' || string_agg('<tr><td><samp>' || CASE WHEN row = 1 THEN r_name ELSE '' END || '</samp></td><td><samp>' || n_name || '</samp></td><td><samp>' || n_nationkey || '</samp></td></tr>', '' ORDER BY row) || '</tbody>' AS body FROM ({_NATIONS}) GROUP BY r_name""")
+def version_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render.version_section(V.table_rows(_nations(spark, sf_dir), "r_name", "n_name", "n_nationkey"), "r_name", "html")
+
+
+@query("""SELECT o_orderkey, 'Order ' || o_orderkey || chr(10) || chr(10) || o_orderstatus || chr(10) || chr(10) || 'customer: ' || o_custkey || chr(10) || 'priority: ' || o_orderpriority || chr(10) AS text,
+'<h1>Order ' || o_orderkey || '</h1><p>' || o_orderstatus || '</p><table><tr><th>customer</th><td>' || o_custkey || '</td></tr><tr><th>priority</th><td>' || o_orderpriority || '</td></tr></table>' AS html FROM orders""")
+def mail_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = F.create_map(F.lit("priority"), F.col("o_orderpriority"), F.lit("customer"), F.col("o_custkey").cast("string"))
+    mail = render.mail(F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")), F.col("o_orderstatus"), facts)
+    return table(spark, sf_dir, "orders").select("o_orderkey", mail.alias("m")).select("o_orderkey", "m.text", "m.html")
+
+
+@query("SELECT c_custkey, 'Dear ' || c_name || ', nation ' || c_nationkey || '.' AS letter FROM customer")
+def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letter = render.filled("Dear {{name}}, nation {{ nation }}.", name=F.col("c_name"), nation=F.col("c_nationkey"))
+    return table(spark, sf_dir, "customer").select("c_custkey", letter.alias("letter"))
