@@ -196,4 +196,25 @@ WITH parts AS (
 SELECT d.doc_id, CASE WHEN coalesce(k.n, 0) = 0 THEN d.text ELSE coalesce(k.text, '') END AS text, coalesce(k.n, 0)::INTEGER AS n_deleted
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
 
-SQL: dict[str, str] = {"op4_winnow_lines": _LINES_SQL, "op8_jump_shards": _jump_sql(), "op9_url_trie": _URL_SQL, "op10_mix": _MIX_SQL}
+_NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) ELSE w END AS s FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n + b.n) AS both_n, count(*) AS common FROM items a
+  JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * common >= 80 * (both_n - common)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(root, doc_id) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.root, e.b FROM reach r JOIN edges e ON e.a = r.doc_id
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r ON s.doc_id = r.doc_id"""
+
+SQL: dict[str, str] = {"op4_winnow_lines": _LINES_SQL, "op7_neardup": _NEAR_SQL, "op8_jump_shards": _jump_sql(), "op9_url_trie": _URL_SQL, "op10_mix": _MIX_SQL}

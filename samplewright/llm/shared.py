@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def count_written() -> int:
-    """How many tables `written` has made and not deleted; what `drop_written` takes."""
-    return len(_WRITTEN)
+def staged(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What `make` returns as a table in the shared folder; the tables that it wrote on the way are deleted."""
+    since = len(_WRITTEN)
+    df = written(make(), name)
+    last = _WRITTEN.pop()
+    drop_written(since)
+    _WRITTEN.append(last)
+    return df
 
 
 def drop(spark: SparkSession, path: str) -> None:
