@@ -8,6 +8,8 @@ ranked by their exact inner products.
 
 Rows are cut into blocks, each with its own forest, and queries too: one task joins a
 block of rows with a block of queries, so memory is bounded and no task sees all rows.
+A block of queries is the larger one, so that the trees of a block of rows, which each
+task makes for itself, serve many.
 Equal vectors are one entry with the smallest ids that any query can need.
 """
 
@@ -39,7 +41,7 @@ class Forest:
     bits: int = 32
     entries: int = 48
     rows: int = 8192
-    queries: int = 4096
+    queries: int = 16384
 
 
 class PrefixTrees:

@@ -236,6 +236,25 @@ def test_forest_recall_and_order(spark):
     assert hits >= 0.9 * 30 * 10
 
 
+def test_forest_of_many_blocks(spark):
+    """Recall and order over five blocks of rows and three of queries; vectors in loose groups."""
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((60, 24))[rng.integers(0, 60, 2000)] + 0.5 * rng.standard_normal((2000, 24))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    small = forest.Forest(trees=32, entries=24, rows=400, queries=40)
+    rows = forest.nearest(df, df.where("vec_id % 20 = 0"), k=20, forest=small).collect()
+    hits = 0
+    for q in range(0, 2000, 20):
+        scores = vectors @ vectors[q]
+        best = [i for i in np.lexsort((np.arange(2000), -scores)) if i != q][:20]
+        mine = sorted((r for r in rows if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, 21))
+        assert [r["score"] for r in mine] == sorted((r["score"] for r in mine), reverse=True)
+        assert all(r["score"] == pytest.approx(scores[r["vec_id"]], abs=1e-12) for r in mine)
+        hits += len({r["vec_id"] for r in mine} & set(best))
+    assert hits >= 0.9 * 100 * 20
+
+
 def test_forest_of_odd_tables(spark):
     rows = [(k, [1.0, 0.5]) for k in range(60)] + [(100 + k, [float(k % 7) - 3, 1.0]) for k in range(50)]
     rows += [(200, None), (201, [0.0, -0.0]), (202, [float("nan"), 1.0]), (203, [None, 1.0]), (204, [float("inf"), 1.0]), (None, [1.0, 1.0]), (5, [1.0, 0.5]), (220, [1.0, 2.0, 3.0]), (240, [])]
