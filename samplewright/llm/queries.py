@@ -11,6 +11,7 @@ from samplewright.llm import fertility, forest, licenses, linededup, mixing, nea
 
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+MULTI_RANKS = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
 
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -53,7 +54,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.judge_texts(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return fertility.judge_texts(table(spark, sf_dir, "documents"), PIECE_MODEL, more={MULTI_RANKS: fertility.MULTI_BANDS})
 
 
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

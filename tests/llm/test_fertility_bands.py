@@ -22,6 +22,41 @@ def test_held_out_junk_is_rejected_and_clean_text_kept(judged):
     assert junk > 50 and junk_kept <= 0.1 * junk
 
 
+def test_statistics_and_verdicts_by_brute_force(spark):
+    """Every document of sf0.01, token by token, with both vocabularies."""
+    import base64
+    import math
+    from collections import Counter
+
+    import sentencepiece
+    import tiktoken
+
+    from samplewright.llm import fertility
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(queries.MULTI_RANKS, "rb"))}
+    multi = tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+    lone = {i for t, i in ranks.items() if len(t) == 1 and t[0] >= 0x80}
+    docs = {r["doc_id"]: r for r in queries.table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    rows = queries.op6_fertility(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        doc = docs[r["doc_id"]]
+        words = [w.decode() for w in (doc["text"] or "").encode().split()]
+        chars, fits = sum(map(len, words)), []
+        for number, (cut, single, bands) in enumerate([(lambda w: pieces.encode(w), pieces.is_byte, fertility.BANDS), (lambda w: multi.encode_ordinary(" " + w), lone.__contains__, fertility.MULTI_BANDS)]):
+            tokens = [t for w in words for t in cut(w)]
+            n = len(tokens)
+            entropy = -sum(c / n * math.log2(c / n) for c in Counter(tokens).values()) if n else 0.0
+            stats = (n, chars / n if n else 0.0, sum(map(single, tokens)) / n if n else 0.0, entropy / math.log2(n) if n > 1 else 0.0)
+            if number == 0:
+                assert r["n_tokens"] == n and (r["chars_per_token"], r["byte_share"], r["token_spread"]) == pytest.approx(stats[1:])
+            else:
+                assert r["more_chars_per_token"] == pytest.approx([stats[1]])
+            fits.append(fertility.within(bands.get(doc["lang"], fertility.OPEN), *stats))
+        assert r["kept"] == (not r["base_failed"] and all(fits))
+
+
 def test_marked_up_real_text(spark, tmp_path):
     words = licenses.full_texts()["GPL-3.0 text"].split()
     docs = []
