@@ -195,24 +195,34 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(_labelled(nodes, labels).join(above, "label", "left").select("node", F.coalesce("_above", "label").alias("label")), "merged")
 
 
-def crowded(rows: DataFrame, name: str) -> DataFrame:
-    """The rows (node, label, bucket) of buckets that hold nodes of several components, with `size`."""
-    sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-    return written(rows.join(sized.where("_low <> _high").select("bucket", "size"), "bucket"), name)
+def crowded(rows: DataFrame, turns: int, level: int) -> DataFrame:
+    """The rows (node, label, bucket) of buckets that hold nodes of several components, with `size` and `centre`.
+
+    centre (node, label): of buckets of more than `turns` nodes, the first in one order of
+    all nodes, so that a level's buckets share centres and their pairs; each level has
+    another order.
+    """
+    first = F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("order"), "node", "label")).alias("_c")
+    sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"), first)
+    sized = sized.where("_low <> _high").select("bucket", "size", F.when(F.col("size") > turns, F.struct("_c.node", "_c.label")).alias("centre"))
+    return written(rows.join(sized, "bucket"), "buckets")
 
 
-def candidates(rows: DataFrame, turns: int, level: int = 0) -> DataFrame:
-    """Pairs (a, b), a < b, of different components, from the rows (node, label, bucket, size) of crowded buckets."""
-    small = rows.where(F.col("size") <= turns).groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("all"))
+def candidates(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of different components, from the rows of `crowded`."""
+    small = rows.where("centre is null").groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("all"))
     # `turns` entries at most
     rays = lambda x: F.transform(F.filter("all", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
     by_turns = small.select(F.explode(F.flatten(F.transform("all", rays))).alias("p")).select("p.*")
-    large = rows.where(F.col("size") > turns)
-    # one order of all nodes, so that buckets of a level share centres and their pairs; another at each level
-    centres = large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("order"), "node", "label")).alias("_c"))
-    stars = large.join(centres, "bucket").where(F.col("label") != F.col("_c.label"))
-    stars = stars.select(F.least("node", "_c.node").alias("a"), F.greatest("node", "_c.node").alias("b"))
-    return by_turns.union(stars).distinct()
+    stars = rows.where("centre is not null and label <> centre.label")
+    return by_turns.union(stars.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))).distinct()
+
+
+def still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes of large buckets of `rows` that still hold several components."""
+    large = written(_labelled(rows.where("centre is not null").select("node", "bucket"), labels), "large")
+    parted = large.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
+    return written(large.join(parted.select("bucket"), "bucket", "left_semi").select("node").distinct(), "open")
 
 
 def _linked(judged: DataFrame, percent: int) -> DataFrame:
@@ -240,19 +250,18 @@ def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFram
     nodes = signed.where("node is not null").groupBy("node").agg(best, F.first("buckets").alias("buckets"))
     nodes = written(nodes.select("node", "_k.key", "_k.text_hash", "buckets"), "nodes")
 
-    rows = crowded(_labelled(nodes.select("node", F.explode("buckets").alias("bucket")), None), "buckets")
-    pairs = written(candidates(rows, near.turns), "candidates")
+    rows = crowded(_labelled(nodes.select("node", F.explode("buckets").alias("bucket")), None), near.turns, 0)
+    pairs = written(candidates(rows), "candidates")
     wanted = nodes.select("node", "key", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     sets = written(sets_of(docs, wanted, near, key, text), "sets")
     labels = components(_linked(confirmed(pairs, sets), near.percent))
     for level in range(1, near.levels):
-        large = _labelled(rows.where(F.col("size") > near.turns).select("node", "bucket"), labels)
-        still = written(crowded(large, "open-buckets").select("node").distinct(), "open")
+        still = still_open(rows, labels)
         if still.limit(1).count() == 0:
             break
         rows = written(deeper(sets.join(still, "node", "left_semi"), near, level), "deeper")
-        rows = crowded(_labelled(rows, labels), "buckets")
-        more = written(_linked(confirmed(candidates(rows, near.turns, level), sets), near.percent), "more-links")
+        rows = crowded(_labelled(rows, labels), near.turns, level)
+        more = written(_linked(confirmed(candidates(rows), sets), near.percent), "more-links")
         if more.limit(1).count():
             labels = merged(labels, more)
     return signed, _labelled(nodes.select("node", "key", "text_hash"), labels)
