@@ -1,7 +1,7 @@
 """Run parameters as rows (name, value) against a schema as rows.
 
 A schema row has grp, name, type (string, boolean, integer), pattern, choices (array),
-default_value, hidden, required, ordinal. Rule results are rows, not exceptions; `check`
+default_value, hidden, required, ordinal, description. Rule results are rows, not exceptions; `check`
 raises on them.
 """
 
@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 
 from samplewright.functions import text as X
 
-SCHEMA = "grp string, name string, type string, pattern string, choices array<string>, default_value string, hidden boolean, required boolean, ordinal int"
+SCHEMA = "grp string, name string, type string, pattern string, choices array<string>, default_value string, hidden boolean, required boolean, ordinal int, description string"
 
 # Options of the workflow runner, which no parameter may be named after.
 RESERVED = (
-    "bg c C config d D dockerize h log q quiet syslog v ansi ansi-log bucket-dir cache dsl2 dump-channels dump-hashes E entry latest lib "
-    "main-script N name offline params-file pi plugins poll-interval pool-size profile ps qs queue-size r resume revision stdin stub stub-run "
-    "test w with-charliecloud with-conda with-dag with-docker with-mpi with-notification with-podman with-report with-singularity "
-    "with-timeline with-tower with-trace with-weblog without-docker without-podman work-dir"
-).split()
+    "bg", "c", "C", "config", "d", "D", "dockerize", "h", "log", "q", "quiet", "syslog", "v", "ansi", "ansi-log",
+    "bucket-dir", "cache", "dsl2", "dump-channels", "dump-hashes", "E", "entry", "latest", "lib", "main-script", "N",
+    "name", "offline", "params-file", "pi", "plugins", "poll-interval", "pool-size", "profile", "ps", "qs",
+    "queue-size", "r", "resume", "revision", "stdin", "stub", "stub-run", "test", "w", "with-charliecloud",
+    "with-conda", "with-dag", "with-docker", "with-mpi", "with-notification", "with-podman", "with-report",
+    "with-singularity", "with-timeline", "with-tower", "with-trace", "with-weblog", "without-docker", "without-podman",
+    "work-dir",
+)
 
 # Patterns of typed parameters.
 PATTERNS = {
@@ -33,6 +36,42 @@ PATTERNS = {
 PUBLISH_MODES = ["symlink", "rellink", "link", "copy", "copyNoFollow", "move"]
 
 
+DESCRIPTIONS = {
+    "input": "Table of the samples, as CSV.",
+    "outdir": "Folder for all results; an absolute path on cloud storage.",
+    "email": "Address that gets a summary when the run ends.",
+    "multiqc_title": "Heading and file name of the joint report.",
+    "genome": "Key of a genome in the catalogue.",
+    "fasta": "Genome sequence, where no catalogue key is given.",
+    "igenomes_base": "Folder that the catalogue's paths begin with.",
+    "igenomes_ignore": "Leaves the catalogue out.",
+    "custom_config_version": "Revision of the shared configurations.",
+    "custom_config_base": "Folder of the shared configurations.",
+    "config_profile_name": "Name of the site's configuration.",
+    "config_profile_description": "What the site's configuration is for.",
+    "config_profile_contact": "Whom to ask about the site's configuration.",
+    "config_profile_url": "Page about the site's configuration.",
+    "max_cpus": "Most processors that one task may ask for.",
+    "max_memory": "Most memory that one task may ask for, as 8.GB.",
+    "max_time": "Longest time that one task may ask for, as 2.h.",
+    "help": "Prints this text.",
+    "version": "Prints the version.",
+    "publish_dir_mode": "How results get to the output folder.",
+    "email_on_fail": "Address that is told of failures only.",
+    "plaintext_email": "Mails as plain text, without HTML.",
+    "max_multiqc_email_size": "Largest report that is attached to a mail.",
+    "monochrome_logs": "No colours in the log.",
+    "hook_url": "Address of a chat's incoming messages.",
+    "multiqc_config": "Further settings of the joint report.",
+    "multiqc_logo": "Picture for the joint report.",
+    "multiqc_methods_description": "Methods section of the joint report, as YAML.",
+    "tracedir": "Folder for traces of the run.",
+    "validate_params": "Checks parameters against this schema first.",
+    "show_hidden_params": "Shows every parameter in the help.",
+    "enable_conda": "Takes software from package channels.",
+}
+
+
 class ParameterError(ValueError):
     """Parameters break the schema."""
 
@@ -42,7 +81,7 @@ def standard_schema(spark: SparkSession) -> DataFrame:
     rows, p = [], PATTERNS
 
     def add(grp: str, name: str, kind: str = "string", pattern: str | None = None, choices: list | None = None, default: str | None = None, hidden: bool = True, required: bool = False) -> None:
-        rows.append((grp, name, kind, pattern, choices, default, hidden, required, len(rows)))
+        rows.append((grp, name, kind, pattern, choices, default, hidden, required, len(rows), DESCRIPTIONS[name]))
 
     add("Input/output options", "input", pattern=p["csv"], hidden=False, required=True)
     add("Input/output options", "outdir", hidden=False, required=True)
@@ -112,7 +151,8 @@ def missing(params: DataFrame, schema: DataFrame) -> DataFrame:
 
 
 def type_fits(kind: Column, value: Column) -> Column:
-    return F.when(kind == "boolean", F.lower(value).isin("true", "false")).when(kind == "integer", F.rlike(value, F.lit(r"^-?\d+$"))).otherwise(True)
+    """Whether a value's text fits boolean, integer or number; any text is a string."""
+    return F.when(kind == "boolean", F.lower(value).isin("true", "false")).when(kind == "integer", F.rlike(value, F.lit(r"^-?\d+$"))).when(kind == "number", F.rlike(value, F.lit(r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"))).otherwise(True)
 
 
 def choice_text(choices: Column, most: int = 5) -> Column:
@@ -189,7 +229,7 @@ def help_lines(schema: DataFrame, width: int = 160, show_hidden: bool = False) -
     rows = visible(schema, show_hidden).join(F.broadcast(longest))
     described = F.concat(F.lit("["), F.col("type"), F.lit("]"))
     note = F.when(F.col("default_value").isNotNull(), F.concat(F.lit(" [default: "), F.col("default_value"), F.lit("]"))).otherwise("")
-    text = X.wrapped(F.concat(F.coalesce(F.col("pattern"), F.lit("")), note), width)
+    text = X.wrapped(F.concat(F.coalesce(F.col("description"), F.lit("")), note), width)
     return rows.select("ordinal", "grp", F.concat(F.lit("  --"), X.pad_right(F.col("name"), F.col("_w")), X.pad_right(described, 10), text).alias("line"))
 
 
@@ -203,5 +243,5 @@ def from_schema_json(spark: SparkSession, document: dict) -> DataFrame:
             default = p.get("default")
             text = None if default is None else str(default).lower() if isinstance(default, bool) else str(default)
             choices = [str(c) for c in p["enum"]] if "enum" in p else None
-            rows.append((title, name, p.get("type", "string"), p.get("pattern"), choices, text, bool(p.get("hidden")), name in required, len(rows)))
+            rows.append((title, name, p.get("type", "string"), p.get("pattern"), choices, text, bool(p.get("hidden")), name in required, len(rows), p.get("description")))
     return spark.createDataFrame(rows, SCHEMA)

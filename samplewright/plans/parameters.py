@@ -44,7 +44,7 @@ class _Rows:
 
 
 _SCHEMA_ROWS = P.standard_schema(_Rows())
-_WITH = "WITH " + _values("params", "name, value, ordinal", [(n, v, k) for k, (n, v) in enumerate(RUN)]) + ", " + _values("rules", "grp, name, type, pattern, choices, default_value, hidden, required, ordinal", _SCHEMA_ROWS)
+_WITH = "WITH " + _values("params", "name, value, ordinal", [(n, v, k) for k, (n, v) in enumerate(RUN)]) + ", " + _values("rules", "grp, name, type, pattern, choices, default_value, hidden, required, ordinal, description", _SCHEMA_ROWS)
 _GIVEN = ", given AS (SELECT * FROM params WHERE value IS NOT NULL AND value NOT IN ('', 'false', '0'))"
 
 
@@ -109,7 +109,7 @@ def hidden_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_WITH + """ SELECT ordinal, grp, '  --' || rpad(name, (SELECT max(length(name)) + 1 FROM rules)::INTEGER, ' ') || rpad('[' || type || ']', greatest(10, length(type) + 2)::INTEGER, ' ')
-  || coalesce(pattern, '') || CASE WHEN default_value IS NULL THEN '' ELSE ' [default: ' || default_value || ']' END AS line FROM rules WHERE NOT hidden""")
+  || coalesce(description, '') || CASE WHEN default_value IS NULL THEN '' ELSE ' [default: ' || default_value || ']' END AS line FROM rules WHERE NOT hidden""")
 def help_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.help_lines(P.standard_schema(spark))
 
