@@ -76,8 +76,9 @@ def require(spark: SparkSession, *paths: str | None) -> None:
             raise FileNotFoundError(path)
 
 
-def whole_path(path: Column, folder: str = "") -> Column:
+def whole_path(path: Column | str, folder: str = "") -> Column:
     """A path as the listings give it, but without its scheme and repeated slashes; a relative one is below `folder`."""
+    path = F.col(path) if isinstance(path, str) else path
     absolute = F.regexp_like(path, F.lit(r"^([A-Za-z][A-Za-z0-9+.-]*:/|/)"))
     placed = F.when(absolute, path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path)) if folder else path
     plain = F.regexp_replace(placed, r"^[A-Za-z][A-Za-z0-9+.-]*:(?=/)", "")

@@ -98,13 +98,31 @@ def test_fastq_source(spark, tmp_path):
     (tmp_path / "reads_2.fq").write_text("@r3\nA\n+\nI\n")
     fastq.register(spark)
     rows = spark.read.format("fastq").load(str(tmp_path)).orderBy("file", "read_idx").collect()
-    assert [(r["file"], r["read_idx"], r["read_id"], r["seq"], r["qual"]) for r in rows] == [("reads_1.fastq.gz", 0, "r1 x", "ACGT", "@III"), ("reads_1.fastq.gz", 1, "r2", "TT", "!~"), ("reads_2.fq", 0, "r3", "A", "I")]
+    assert [(r["file"].removeprefix(f"{tmp_path}/"), r["read_idx"], r["read_id"], r["seq"], r["qual"]) for r in rows] == [("reads_1.fastq.gz", 0, "r1 x", "ACGT", "@III"), ("reads_1.fastq.gz", 1, "r2", "TT", "!~"), ("reads_2.fq", 0, "r3", "A", "I")]
     table = fastq.scan_table(spark.read.format("binaryFile").load(f"file://{tmp_path}/reads_1.fastq.gz"))
     assert table.count() == 2
+    assert sorted(map(tuple, fastq.scan_lines(spark, f"file://{tmp_path}").collect())) == sorted(map(tuple, rows))
     with pytest.raises(fastq.FastqError):
         list(fastq.records(iter(["@r\n", "ACG\n", "+\n", "II\n"]), "x"))
 
 
+def test_equal_names_in_two_folders(spark, tmp_path):
+    """Two lanes with one file name are two files, whether they are looked for or joined with their reads."""
+    import gzip
+
+    from samplewright.sources import config
+
+    for lane in "ab":
+        (tmp_path / lane).mkdir()
+        with gzip.open(tmp_path / lane / "x.fq.gz", "wt") as f:
+            f.write("".join(f"@{lane}{k}\nAC\n+\nII\n" for k in range(5000)))
+    wanted = spark.createDataFrame([("a/x.fq.gz",), ("c/x.fq.gz",), (f"file://{tmp_path}/b//x.fq.gz",), (f"{tmp_path}/x.fq.gz",), (None,)], "f string")
+    assert sorted(str(r["f"]) for r in config.missing_files(wanted, "f", f"file://{tmp_path}").collect()) == sorted([f"{tmp_path}/x.fq.gz", "None", "c/x.fq.gz"])
+    keys = spark.createDataFrame([("one", 0, "one", "a/x.fq.gz"), ("two", 0, "two", f"{tmp_path}/b/x.fq.gz")], "sample string, mate int, name string, path string")
+    reads = fastq.with_mates(keys, fastq.scan_lines(spark, f"file://{tmp_path}/*/x.fq.gz"), str(tmp_path))
+    assert sorted((r["sample"], r["n"]) for r in reads.groupBy("sample", F.substring("read_id", 1, 1).alias("l")).agg(F.count("*").alias("n")).collect()) == [("one", 5000), ("two", 5000)]
+
+
 def test_suffixes_as_paths_have_them(spark):
     from pathlib import PurePosixPath
 
