@@ -43,7 +43,7 @@ def collected(df: DataFrame, column: str, by: list[str]) -> DataFrame:
 
 
 def listed(df: DataFrame, column: str) -> DataFrame:
-    """One row with all values, sorted; an empty list if there are none. For report inputs, which are few."""
+    """One row with all values, sorted; an empty list if there are none. For report inputs, which are few: they must fit a row."""
     return df.agg(F.sort_array(F.collect_list(column)).alias("items"))
 
 
@@ -54,7 +54,10 @@ def if_empty(df: DataFrame, default: DataFrame) -> DataFrame:
 
 
 def collected_text(df: DataFrame, column: str, order: list[str], by: list[str], sep: str = "\n") -> DataFrame:
-    """`body`: the group's texts in order, joined; the content of a collected file."""
+    """`body`: the group's texts in order, joined; the content of a collected file.
+
+    For groups that fit a row, 2 GB at most; `render.write_collected` writes ordered files of any size.
+    """
     rows = F.array_sort(F.collect_list(F.struct(*order, F.col(column).alias("_text"))))
     return df.groupBy(*by).agg(rows.alias("_rows")).select(*by, F.array_join(F.transform("_rows", lambda r: r["_text"]), sep).alias("body"))
 

@@ -32,16 +32,18 @@ def labels(spark: SparkSession) -> DataFrame:
 def requested(tasks: DataFrame, label: str, attempt: Column, limits: DataFrame, max_cpus: str = "16", max_memory: str = "128.GB", max_time: str = "240.h") -> DataFrame:
     """`tasks` with cpus, mem_bytes and time_s: the label's, times the attempt, under the caps.
 
-    An unknown or null label is the default; an invalid cap is no cap.
+    An unknown or null label is the default; an invalid cap is no cap. Labels meet tasks by
+    a join that Spark broadcasts while they are small; only the default's row always is.
     """
-    known = limits.select(F.col("label").alias("_label"), *[F.col(c).alias(f"_{c}") for c in ("cpus", "mem_bytes", "time_s", "scale_cpus")])
-    names = [r["label"] for r in limits.select("label").collect()]
-    use = F.when(F.col(label).isin(names), F.col(label)).otherwise("default")
-    rows = tasks.withColumn("_use", use).join(F.broadcast(known), F.col("_use") == F.col("_label"), "left").withColumn("_try", attempt)
+    asked = ("cpus", "mem_bytes", "time_s", "scale_cpus")
+    known = limits.select(F.col("label").alias("_label"), F.struct(*asked).alias("_own"))
+    default = limits.where("label = 'default'").limit(1).agg(F.first(F.struct(*asked)).alias("_default"))
+    rows = tasks.join(known, F.col(label) == F.col("_label"), "left").join(F.broadcast(default)).withColumn("_try", attempt)
+    rows = rows.withColumns({f"_{c}": F.coalesce("_own", "_default")[c] for c in asked})
     rows = rows.withColumn("cpus", X.capped(F.when(F.col("_scale_cpus"), F.col("_cpus") * F.col("_try")).otherwise(F.col("_cpus")), F.lit(max_cpus).try_cast("long")))
     rows = rows.withColumn("mem_bytes", X.capped(F.col("_mem_bytes") * F.col("_try"), X.memory_bytes(F.lit(max_memory))))
     rows = rows.withColumn("time_s", X.capped(F.col("_time_s") * F.col("_try"), X.duration_seconds(F.lit(max_time))))
-    return rows.drop("_use", "_label", "_cpus", "_mem_bytes", "_time_s", "_scale_cpus", "_try")
+    return rows.drop("_own", "_default", "_label", "_cpus", "_mem_bytes", "_time_s", "_scale_cpus", "_try")
 
 
 def decision(exit_code: Column, attempt: Column, strategy: Column | None = None, max_retries: Column | None = None) -> Column:
