@@ -95,7 +95,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     sources share as many words as there are. A source with target T and size S takes
     each of its rows T // S times and makes up the rest by the hash threshold, so no row
     is taken more than `most` times. Null sources are one source; null texts have size
-    0 and take 0; equal rows are taken alike. An empty table gives no rows.
+    0 and take 0; equal rows are taken alike, and so are rows of equal hash. Texts are counted
+    and hashed whole, whatever their length. Columns other than key, text and source aren't
+    read. An empty table gives no rows.
     """
     rows = written(docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_hash(F.col(key), F.col(text)).alias("rank")), "mix-rows")
     taken = _taken(rows, plan_of(rows, weights, most))
@@ -128,7 +130,8 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     """`docs` as the mix takes them: each row as many times as `mix` says, from none to `most`.
 
     The thresholds are found on slim rows; then the documents themselves are filtered by
-    the same hash, with no shuffle of their texts where the plan is small.
+    the same hash, with no shuffle of their texts where the plan is small. All columns
+    stay as they are, whatever their names. Nulls, empty texts and equal rows as in `mix`.
     """
     rows = written(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_hash(F.col(key), F.col(text)).alias("rank")), "mix-rows")
     plan = written(plan_of(rows, weights, most), "mix-plan")

@@ -101,7 +101,8 @@ def shard_table(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text"
 
     size: UTF-8 bytes of the text and 1 (null and empty texts: 1); text_crc32: unsigned
     CRC of these bytes (null: 0, as of none). grown_shard: the shard among `n + 1`.
-    Repeated rows each get a slot. An empty table gives none.
+    Repeated rows each get a slot; null keys are one key. Texts are measured whole, whatever
+    their length; columns other than key and text aren't read. An empty table gives none.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     hashed = key_hash(F.col(key))
