@@ -220,7 +220,9 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 def still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The nodes of large buckets of `rows` that still hold several components."""
-    large = written(_labelled(rows.where("centre is not null").select("node", "bucket"), labels), "large")
+    # labels meet nodes, not each of their buckets; a node's list holds one bucket of each band at most
+    held = rows.where("centre is not null").groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    large = written(_labelled(held, labels).select("node", "label", F.explode("buckets").alias("bucket")), "large")
     parted = large.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
     return written(large.join(parted.select("bucket"), "bucket", "left_semi").select("node").distinct(), "open")
 
@@ -230,17 +232,17 @@ def _linked(judged: DataFrame, percent: int) -> DataFrame:
 
 
 def deeper(sets: DataFrame, near: Near, level: int) -> DataFrame:
-    """node and bucket, for each bucket of the level, of the nodes of `sets`."""
+    """node, label and bucket, for each bucket of the level, of the rows of `sets` (node, label, set)."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(near, level)
         for batch in batches:
             keys = [bands.keys(np.sort(np.asarray(x.values).view(_U))).view(np.int64) for x in batch.column("set")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "buckets"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "label", "buckets"])
 
     # an exchange of its own, since the few bytes of a join's result may all be one partition
-    dealt = sets.select("node", "set").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
-    return dealt.mapInArrow(keyed, "node binary, buckets array<long>").select("node", F.explode("buckets").alias("bucket"))
+    dealt = sets.select("node", "label", "set").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    return dealt.mapInArrow(keyed, "node binary, label binary, buckets array<long>").select("node", "label", F.explode("buckets").alias("bucket"))
 
 
 def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -259,8 +261,7 @@ def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFram
         still = still_open(rows, labels)
         if still.limit(1).count() == 0:
             break
-        rows = written(deeper(sets.join(still, "node", "left_semi"), near, level), "deeper")
-        rows = crowded(_labelled(rows, labels), near.turns, level)
+        rows = crowded(written(deeper(sets.join(_labelled(still, labels), "node"), near, level), "deeper"), near.turns, level)
         more = written(_linked(confirmed(candidates(rows), sets), near.percent), "more-links")
         if more.limit(1).count():
             labels = merged(labels, more)
