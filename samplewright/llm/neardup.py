@@ -219,12 +219,18 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The nodes of large buckets of `rows` that still hold several components."""
-    # labels meet nodes, not each of their buckets; a node's list holds one bucket of each band at most
+    """The nodes of large buckets of `rows` whose component meets another in some large bucket.
+
+    Components are compared, one row for each bucket and component, and nodes then meet
+    their components: so a large component counts once in a bucket, whatever its nodes.
+    """
+    # a node's list holds one bucket of each band at most
     held = rows.where("centre is not null").groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
-    large = written(_labelled(held, labels).select("node", "label", F.explode("buckets").alias("bucket")), "large")
-    parted = large.groupBy("bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-    return written(large.join(parted.select("bucket"), "bucket", "left_semi").select("node").distinct(), "open")
+    large = written(_labelled(held, labels), "large")
+    parts = written(large.select("label", F.explode("buckets").alias("bucket")).distinct(), "parts")
+    shared = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
+    apart = parts.join(shared, "bucket", "left_semi").select("label").distinct()
+    return written(large.join(apart, "label", "left_semi").select("node"), "open")
 
 
 def _linked(judged: DataFrame, percent: int) -> DataFrame:
