@@ -9,14 +9,14 @@
    only the node that comes first in an order of all nodes is: n - 1 candidates.
 3. Candidates are confirmed on the full sets. Connected components follow.
 4. A single star may miss a link between two of its rays. So the nodes of larger buckets
-   that still lie in several components go on to the next level: more and longer rows of
-   bins, from further permutations, which part them into smaller buckets, where only nodes
-   of different components are compared. A level makes at most `turns` candidates for each
-   node and bucket, so the work is in proportion to nodes at every level.
-
-A pair of similarity 0.8 shares none of the first level's 40 buckets of 6 rows with a
-chance of 5e-6; a pair that lies in large open buckets only shares none of the second
-level's 100 of 12 rows with a chance of 8e-4.
+   that still hold several components go on: blobs of such buckets get one centre each, and
+   what a node has apart from the centre takes the place of its set. Two nodes that are
+   linked, but not both with the centre, share elements of that; so they share one of the
+   few rarest (a prefix filter), by which they meet. This loses no pair, and the common part
+   of a large group, in which all meet all, has gone from it.
+
+A pair of similarity 0.8 shares none of the 40 buckets of 6 rows with a chance of 5e-6; pairs
+that share one are all found.
 """
 
 from __future__ import annotations
@@ -31,20 +31,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplewright.llm.arrow import as_bytes, pieces
-from samplewright.llm.shared import written
+from samplewright.llm.shared import join_hot, written
 from samplewright.llm.words import Piece, mixed
 
 _U = np.uint64
-#: Hashes of one text that are permuted at once.
-MANY = 1 << 20
+#: Nodes of a blob, about, that its elements are counted in for their order.
+SAMPLE = 32
 
 
 @dataclass(frozen=True)
 class Near:
     """Words of a shingle, similarity in per cent, and how buckets are made.
 
-    bands and rows: those of the first level; level k (from 0) has bands * 2.5**k bands of
-    rows * (k + 1) rows. turns: the largest bucket whose pairs are all compared.
+    bands: buckets of a text; rows: bins of a bucket. turns: the largest bucket whose pairs
+    are all compared.
     """
 
     shingle: int = 5
@@ -52,7 +52,6 @@ class Near:
     bands: int = 40
     rows: int = 6
     turns: int = 16
-    levels: int = 4
 
 
 def text_sets(piece: Piece, shingle: int) -> list[np.ndarray]:
@@ -73,45 +72,34 @@ def text_sets(piece: Piece, shingle: int) -> list[np.ndarray]:
 
 
 class Bands:
-    """Bucket keys of sorted sets at one level."""
+    """Bucket keys of sorted sets."""
 
-    def __init__(self, near: Near, level: int = 0) -> None:
-        self.bins, self.rows = near.bands * near.rows, near.rows * (level + 1)
-        bands = round(near.bands * 2.5**level)
-        self.each = self.bins // self.rows  # bands of one permutation
+    def __init__(self, near: Near) -> None:
+        self.bins, self.rows, self.each = near.bands * near.rows, near.rows, near.bands
         # row j: the order in which bin j, if it is empty, looks at the others
         self.order = np.random.default_rng(7).random((self.bins, self.bins)).argsort(axis=1)
-        self.seeds = mixed((np.arange(-(-bands // self.each), dtype=_U) + _U(level << 32)) * _U(0x9FB21C651E98DF25))
-        self.salt = mixed((np.arange(1, self.seeds.size * self.each + 1, dtype=_U) + _U(level << 32)) * _U(0x9E3779B97F4A7C15)).reshape(self.seeds.size, self.each)
+        self.salt = mixed(np.arange(1, near.bands + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
 
     def _mins(self, own: np.ndarray) -> np.ndarray:
-        """One value for each permutation (row) and bin; rows of `own` are sorted, so the first hash of a bin is its least."""
-        bins = ((own >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64) + np.arange(len(own))[:, None] * self.bins
-        flat, bins = own.ravel(), bins.ravel()
+        """One value for each bin; `own` is sorted, so the first hash of a bin is its least."""
+        bins = ((own >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], bins[1:] != bins[:-1])))
-        values, filled = np.empty(len(own) * self.bins, _U), np.zeros(len(own) * self.bins, bool)
-        values[bins[first]] = flat[first]
+        values, filled = np.empty(self.bins, _U), np.zeros(self.bins, bool)
+        values[bins[first]] = own[first]
         filled[bins[first]] = True
         holes, look = np.flatnonzero(~filled), 0
         while holes.size:
-            bin_ = holes % self.bins
-            at = holes - bin_ + self.order[bin_, look]
+            at = self.order[holes, look]
             found = filled[at]
             values[holes[found]] = values[at[found]]
             holes, look = holes[~found], look + 1
-        return values.reshape(len(own), self.bins)
+        return values
 
     def keys(self, own: np.ndarray) -> np.ndarray:
-        out, together = [], max(1, MANY // own.size)
-        for at in range(0, self.seeds.size, together):
-            seeds, key = self.seeds[at : at + together], self.salt[at : at + together]
-            # the first permutation of all is the order of the hashes themselves
-            values = self._mins(own[None, :] if seeds.size == 1 and seeds[0] == 0 else np.sort(mixed(own ^ seeds[:, None]), axis=1))
-            values = values[:, : self.each * self.rows].reshape(seeds.size, self.each, self.rows)
-            for row in range(self.rows):
-                key = mixed(key * _U(0xD6E8FEB86659FD93) + values[:, :, row])
-            out.append(key.ravel())
-        return np.concatenate(out)
+        key, values = self.salt, self._mins(own).reshape(self.each, self.rows)
+        for row in range(self.rows):
+            key = mixed(key * _U(0xD6E8FEB86659FD93) + values[:, row])
+        return key
 
 
 def _texts_of(piece: pa.RecordBatch) -> Piece:
@@ -195,14 +183,13 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(_labelled(nodes, labels).join(above, "label", "left").select("node", F.coalesce("_above", "label").alias("label")), "merged")
 
 
-def crowded(rows: DataFrame, turns: int, level: int) -> DataFrame:
+def crowded(rows: DataFrame, turns: int) -> DataFrame:
     """The rows (node, label, bucket) of buckets that hold nodes of several components, with `size` and `centre`.
 
     centre (node, label): of buckets of more than `turns` nodes, the first in one order of
-    all nodes, so that a level's buckets share centres and their pairs; each level has
-    another order.
+    all nodes, so that buckets share centres and their pairs.
     """
-    first = F.min(F.struct(F.xxhash64("node", F.lit(level)).alias("order"), "node", "label")).alias("_c")
+    first = F.min(F.struct(F.xxhash64("node", F.lit(0)).alias("order"), "node", "label")).alias("_c")
     sized = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_low"), F.max("label").alias("_high"), first)
     sized = sized.where("_low <> _high").select("bucket", "size", F.when(F.col("size") > turns, F.struct("_c.node", "_c.label")).alias("centre"))
     return written(rows.join(sized, "bucket"), "buckets")
@@ -218,39 +205,105 @@ def candidates(rows: DataFrame) -> DataFrame:
     return by_turns.union(stars.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))).distinct()
 
 
-def still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The nodes of large buckets of `rows` whose component meets another in some large bucket.
+def blobs_of(rows: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """node, label, blob and degree, for the nodes that may still lack a link; None if there are none.
 
-    Components are compared, one row for each bucket and component, and nodes then meet
-    their components: so a large component counts once in a bucket, whatever its nodes.
+    Those are nodes of large buckets of `rows` that hold several components. Components
+    that meet in such buckets, directly or by others, are one blob, so that two nodes of
+    one bucket are always in one blob. degree: a node's large buckets. A component counts
+    once in a bucket, whatever its nodes.
     """
     # a node's list holds one bucket of each band at most
     held = rows.where("centre is not null").groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
     large = written(_labelled(held, labels), "large")
     parts = written(large.select("label", F.explode("buckets").alias("bucket")).distinct(), "parts")
-    shared = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    apart = parts.join(shared, "bucket", "left_semi").select("label").distinct()
-    return written(large.join(apart, "label", "left_semi").select("node"), "open")
+    shared = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("b")).where("_n > 1").select("bucket", "b")
+    meet = written(parts.join(shared, "bucket").where("label <> b").select(F.col("label").alias("a"), "b").distinct(), "meet")
+    if meet.limit(1).count() == 0:
+        return None
+    blobs = components(meet).select(F.col("node").alias("label"), F.col("label").alias("blob"))
+    return large.join(blobs, "label").select("node", "label", "blob", F.size("buckets").alias("degree"))
+
+
+def differences(members: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """How each node of a blob differs from its blob's centre, the node of most large buckets.
+
+    node, label, blob, centre, size (of the set), differ (elements of just one of the node
+    and the centre), linked (with the centre), tokens: the first of those elements, as many
+    as `short` (if its links end outside the centre's component) or all (if one may end there).
+    Elements are in one order for each blob, rare ones first. The order needs no exactness,
+    so that frequencies come from a sample of about SAMPLE nodes of each blob.
+    """
+    k, whole = 100 - near.percent, 100 + near.percent
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, differ, linked, short, tokens = [], [], [], [], []
+            for own, centre, seen, times, n in zip(*(batch.column(c) for c in ("set", "_centre", "_seen", "_times", "_n")), strict=True):
+                own, centre, seen, times = (np.asarray(x.values) for x in (own, centre, seen, times))
+                apart = np.setxor1d(own, centre, assume_unique=True)
+                at = np.minimum(np.searchsorted(seen, apart), max(seen.size - 1, 0))
+                often = np.where(seen[at] == apart, times[at], 0) if seen.size else np.zeros(apart.size, np.int64)
+                inside = np.isin(apart, centre, assume_unique=True)
+                # of an element of the centre the nodes that lack it count
+                order = np.lexsort((mixed(apart.view(_U)), inside, np.where(inside, n.as_py() - often, often)))
+                d, most = apart.size, own.size * k // near.percent + 1
+                size.append(own.size)
+                differ.append(d)
+                linked.append(whole * d <= k * (own.size + centre.size))
+                short.append(d - max(0, (whole * d + k * (centre.size - own.size)) // (2 * whole)))
+                tokens.append(apart[order[:most]])
+            made = [pa.array(size, pa.int64()), pa.array(differ, pa.int64()), pa.array(linked, pa.bool_()), pa.array(short, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))]
+            names = ["node", "label", "blob", "centre"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *made], names=[*names, "size", "differ", "linked", "short", "tokens"])
+
+    members = written(members.join(sets, "node"), "members")
+    centres = members.groupBy("blob").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", F.xxhash64("node").alias("_h"), "node")).alias("_c")).select("blob", "n", F.col("_c.node").alias("node"))
+    centres = written(centres.join(sets, "node").select("blob", "n", F.col("node").alias("centre"), F.array_sort("set").alias("_centre")), "centres")
+    sample = written(join_hot(members, centres.select("blob", "n", F.col("n").alias("_of")), ["blob"], "n").where(F.expr(f"pmod(xxhash64(node), greatest(1, _of div {SAMPLE})) = 0")).select("blob", "set"), "sample")
+    often = sample.select("blob", F.explode("set").alias("token")).groupBy("blob", "token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    often = often.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("token", "times"))).alias("_often")).select("blob", F.col("_often.token").alias("_seen"), F.col("_often.times").alias("_times"))
+    taken = sample.groupBy("blob").agg(F.count(F.lit(1)).alias("_n"))
+    none = F.array().cast("array<long>")
+    centres = centres.join(often, "blob", "left").join(taken, "blob", "left")
+    centres = centres.withColumns({"_seen": F.coalesce("_seen", none), "_times": F.coalesce("_times", none), "_n": F.coalesce("_n", F.lit(0))})
+    pairs = join_hot(members, written(centres, "orders"), ["blob"], "n")
+    kinds = "node binary, label binary, blob binary, centre binary, size long, differ long, linked boolean, short long, tokens array<long>"
+    return written(pairs.select("node", "label", "blob", "centre", "set", "_centre", "_seen", "_times", "_n").mapInArrow(compared, kinds), "differences")
+
+
+def across(nodes: DataFrame, near: Near) -> DataFrame:
+    """Pairs (a, b), a < b, of different components that hold every link of a blob but those with its centre.
+
+    nodes: the rows of `differences`. Let X and Y be two sets' differences from the centre.
+    The sets differ from each other by |X| + |Y| - 2 |X and Y|; a link lets them differ by
+    `k` of the sum of their sizes at most. So X and Y of a link share that many elements:
+    one at least, unless both are linked with the centre, and so many that one of the first
+    few of X is among the first few of Y.
+    """
+    k, whole = 100 - near.percent, 100 + near.percent
+    home = nodes.where("linked").select("blob", "label").distinct().withColumn("home", F.lit(True))
+    at_home = nodes.join(home, ["blob", "label"], "left").withColumn("home", F.coalesce("home", F.lit(False)))
+    first = F.when(F.col("home"), F.slice("tokens", 1, F.col("short").cast("int"))).otherwise(F.col("tokens"))
+    rows = at_home.select("node", "label", "blob", "home", "size", "differ", "short", F.posexplode(first).alias("at", "token"))
+    rows = written(rows.select("node", "label", "blob", "token", "home", "size", F.expr("at < short").alias("early"), "differ", F.expr("differ - at").alias("left")), "tokens")
+    use = rows.groupBy("blob", "token").agg(F.count_if("home").alias("_home"), F.count_if(~F.col("home")).alias("_away"), F.count_if(~F.col("home") & F.col("early")).alias("_early"))
+    use = use.where("_home > 0 and _away > 0 or _early > 1").select("blob", "token")
+    rows = written(rows.join(use, ["blob", "token"], "left_semi"), "tokens")
+    one, other = (rows.select("blob", "token", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "label", "home", "size", "early", "differ", "left"))) for side in "ab")
+    on = F.expr(
+        f"""a_node < b_node and a_label <> b_label and not (a_home and b_home) and (a_home or b_home or a_early and b_early)
+        and 100 * a_size >= {near.percent} * b_size and 100 * b_size >= {near.percent} * a_size
+        and {2 * whole} * least(a_left, b_left) >= {whole} * (a_differ + b_differ) - {k} * (a_size + b_size)"""
+    )
+    met = one.join(other.withColumnsRenamed({"blob": "_blob", "token": "_token"}), (F.col("blob") == F.col("_blob")) & (F.col("token") == F.col("_token")) & on)
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def _linked(judged: DataFrame, percent: int) -> DataFrame:
     return judged.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b")
 
 
-def deeper(sets: DataFrame, near: Near, level: int) -> DataFrame:
-    """node, label and bucket, for each bucket of the level, of the rows of `sets` (node, label, set)."""
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(near, level)
-        for batch in batches:
-            keys = [bands.keys(np.sort(np.asarray(x.values).view(_U))).view(np.int64) for x in batch.column("set")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(keys, pa.list_(pa.int64()))], names=["node", "label", "buckets"])
-
-    # an exchange of its own, since the few bytes of a join's result may all be one partition
-    dealt = sets.select("node", "label", "set").repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
-    return dealt.mapInArrow(keyed, "node binary, label binary, buckets array<long>").select("node", "label", F.explode("buckets").alias("bucket"))
-
-
 def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The documents' signatures, and for each node its label and first document (key, text_hash)."""
     signed = written(signatures(docs, near, key, text), "signatures")
@@ -258,17 +311,17 @@ def _grouped(docs: DataFrame, near: Near, key: str, text: str) -> tuple[DataFram
     nodes = signed.where("node is not null").groupBy("node").agg(best, F.first("buckets").alias("buckets"))
     nodes = written(nodes.select("node", "_k.key", "_k.text_hash", "buckets"), "nodes")
 
-    rows = crowded(_labelled(nodes.select("node", F.explode("buckets").alias("bucket")), None), near.turns, 0)
+    rows = crowded(_labelled(nodes.select("node", F.explode("buckets").alias("bucket")), None), near.turns)
     pairs = written(candidates(rows), "candidates")
     wanted = nodes.select("node", "key", "text_hash").join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
     sets = written(sets_of(docs, wanted, near, key, text), "sets")
     labels = components(_linked(confirmed(pairs, sets), near.percent))
-    for level in range(1, near.levels):
-        still = still_open(rows, labels)
-        if still.limit(1).count() == 0:
-            break
-        rows = crowded(written(deeper(sets.join(_labelled(still, labels), "node"), near, level), "deeper"), near.turns, level)
-        more = written(_linked(confirmed(candidates(rows), sets), near.percent), "more-links")
+    blobs = blobs_of(rows, labels)
+    if blobs is not None:
+        apart = differences(blobs, sets, near)
+        rays = apart.where("linked and node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+        pairs = written(across(apart, near), "across")
+        more = written(_linked(confirmed(pairs, sets), near.percent).union(rays), "more-links")
         if more.limit(1).count():
             labels = merged(labels, more)
     return signed, _labelled(nodes.select("node", "key", "text_hash"), labels)

@@ -196,6 +196,32 @@ def test_near_duplicates_by_brute_force(spark, turns):
         assert all(r["kept"] == (k == r["component_id"]) for k, r in got.items())
 
 
+@pytest.mark.parametrize("shingle", [2, 5])
+def test_large_buckets_lose_no_link(spark, shingle, monkeypatch):
+    """Two families of edited copies in buckets far above `turns`: the components are those of all pairs, and a node makes few rows.
+
+    A centre's own edits are shared by all others, and many texts are linked with one text only.
+    """
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(400)]
+    texts = []
+    base = [rng.choice(vocabulary) for _ in range(90)]
+    for family in range(2):
+        for _ in range(150):
+            copy = list(base)
+            for _ in range(rng.randint(1, 9)):
+                copy[rng.randrange(90)] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+        base = base[:60] + [rng.choice(vocabulary) for _ in range(30)]
+    docs = list(enumerate(texts))
+    seen, write = {}, neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, name: (seen.setdefault(name, []).append(out := write(df, name)), out)[1])
+    want = brute_near(docs, shingle)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), neardup.Near(shingle=shingle, turns=2)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert 0 < seen["tokens"][0].count() <= len(docs) * (90 // 4 + 1)
+
+
 def test_near_duplicates_of_odd_tables(spark, odd):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == 8
